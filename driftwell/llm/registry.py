@@ -2,16 +2,22 @@
 
 from __future__ import annotations
 
+from driftwell.llm.block_topk import OP7_SQL, op7_block_topk
 from driftwell.llm.packing import op1_best_fit_packing
+from driftwell.llm.permutation_index import op5_permutation_index
 from driftwell.llm.simhash import op9_simhash_gray
+from driftwell.llm.toxicity import op4_nnpu_toxicity
 
 
 def queries() -> dict:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op4_nnpu_toxicity": op4_nnpu_toxicity,
+        "op5_permutation_index": op5_permutation_index,
+        "op7_block_topk": op7_block_topk,
         "op9_simhash_gray": op9_simhash_gray,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op7_block_topk": OP7_SQL}
