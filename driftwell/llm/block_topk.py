@@ -80,9 +80,9 @@ OP7_SQL = """
 WITH one AS (
   SELECT vec_id, min(embedding) AS e FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
   GROUP BY vec_id),
-v AS (SELECT vec_id, list_transform(e, x -> CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w FROM one
+v AS (SELECT vec_id, list_transform(e, lambda x: CAST(floor(64 * CAST(x AS DOUBLE)) AS DOUBLE)) AS w FROM one
       WHERE len(e) = (SELECT len(e) AS n FROM one GROUP BY n ORDER BY count(*) DESC, n DESC LIMIT 1)),
 s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.w, c.w) AS BIGINT) AS score
       FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
