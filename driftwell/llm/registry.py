@@ -8,6 +8,7 @@ from driftwell.llm.line_dedup import OP10_SQL, op10_site_line_dedup
 from driftwell.llm.mixing import OP3_SQL, op3_hierarchical_mix
 from driftwell.llm.packing import op1_best_fit_packing
 from driftwell.llm.permutation_index import op5_permutation_index
+from driftwell.llm.ppm import op2_ppm_scoring
 from driftwell.llm.simhash import op9_simhash_gray
 from driftwell.llm.toxicity import op4_nnpu_toxicity
 
@@ -15,6 +16,7 @@ from driftwell.llm.toxicity import op4_nnpu_toxicity
 def queries() -> dict:
     return {
         "op1_best_fit_packing": op1_best_fit_packing,
+        "op2_ppm_scoring": op2_ppm_scoring,
         "op3_hierarchical_mix": op3_hierarchical_mix,
         "op4_nnpu_toxicity": op4_nnpu_toxicity,
         "op5_permutation_index": op5_permutation_index,
