@@ -11,6 +11,7 @@ from driftwell.llm.permutation_index import op5_permutation_index
 from driftwell.llm.ppm import op2_ppm_scoring
 from driftwell.llm.simhash import op9_simhash_gray
 from driftwell.llm.toxicity import op4_nnpu_toxicity
+from driftwell.llm.warc import op6_warc_derivatives
 
 
 def queries() -> dict:
@@ -20,6 +21,7 @@ def queries() -> dict:
         "op3_hierarchical_mix": op3_hierarchical_mix,
         "op4_nnpu_toxicity": op4_nnpu_toxicity,
         "op5_permutation_index": op5_permutation_index,
+        "op6_warc_derivatives": op6_warc_derivatives,
         "op7_block_topk": op7_block_topk,
         "op8_license_scan": op8_license_scan,
         "op9_simhash_gray": op9_simhash_gray,
