@@ -27,7 +27,7 @@ from driftwell.llm.store import discard, materialise
 ORDER = 5
 SPAN = ORDER + 1
 #: Characters of a block, and bytes that are coded at once.
-BLOCK_CHARS, CHUNK = 40_000_000, 4_000_000
+BLOCK_CHARS, CHUNK = 24_000_000, 1_500_000
 PAD, GAP, END = b"\t", b" ", b"\n"  # white space never stands in a word
 BYTES = 256
 
