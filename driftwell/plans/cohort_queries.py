@@ -140,7 +140,7 @@ QUERIES = {
     "retention_next_visit": _bullets(U.next_visit),
     "kill_streaks": _bullets(lambda b: U.kill_streaks(b, GAP)),
     "day_sessions": _bullets(lambda b: U.day_sessions(b, GAP)),
-    "bet_index_curve": lambda spark, sf_dir: rounded(U.bet_index_curve(rounded(U.day_sessions(bullets(load(spark, sf_dir, "events")), GAP)), 1, 200), 9),
+    "bet_index_curve": lambda spark, sf_dir: rounded(U.bet_index_curve(rounded(U.day_sessions(bullets(load(spark, sf_dir, "events")), GAP)), 1, 200), 11),
     "ip_stats": _bullets(U.ip_stats),
     "ftue_milestones": _bullets(U.milestones),
     "bets_before_first_free": _bets(U.before_first_free),
@@ -172,7 +172,7 @@ SELECT day, count(*) AS users, CAST(sum(d1) AS BIGINT) AS day1, CAST(sum(d3) AS
     "retention_next_visit": f"{_B}, d AS (SELECT DISTINCT user_id, CAST(event_timestamp AS DATE) AS day FROM bullets), n AS (SELECT *, lead(day) OVER (PARTITION BY user_id ORDER BY day) AS nx FROM d) SELECT day, count(*) AS users, count(nx) AS returning, round(avg(date_diff('day', day, nx)), 6) + 0.0 AS days_until FROM n GROUP BY day",
     "kill_streaks": _KILL,
     "day_sessions": f"{_SESSION} SELECT * REPLACE (round(bet, 6) + 0.0 AS bet, round(payout, 6) + 0.0 AS payout) FROM s",
-    "bet_index_curve": f"{_SESSION} SELECT day, bet_index, strategy_name, count(*) AS n, round(avg(cumulative_rtp), 9) + 0.0 AS rtp_mean, round(stddev_samp(cumulative_rtp), 9) + 0.0 AS rtp_std, round(median(cumulative_rtp), 9) + 0.0 AS rtp_median FROM s WHERE bet_index BETWEEN 1 AND 200 GROUP BY ALL",
+    "bet_index_curve": f"{_SESSION} SELECT day, bet_index, strategy_name, count(*) AS n, round(avg(cumulative_rtp), 11) + 0.0 AS rtp_mean, round(stddev_samp(cumulative_rtp), 11) + 0.0 AS rtp_std, round(median(cumulative_rtp), 11) + 0.0 AS rtp_median FROM s WHERE bet_index BETWEEN 1 AND 200 GROUP BY ALL",
     "ip_stats": f"""{_B}, m AS (SELECT ip, max(u) AS max_users FROM (SELECT ip, epoch_us(event_timestamp) // 3600000000 AS b, count(DISTINCT user_id) AS u FROM bullets GROUP BY ALL) GROUP BY ip),
 g AS (SELECT *, date_diff('second', lag(event_timestamp) OVER (PARTITION BY ip ORDER BY event_timestamp, bullet_id), event_timestamp) AS gap FROM bullets)
 SELECT ip, count(DISTINCT user_id) AS users, count(*) AS n, round(avg(gap), 6) + 0.0 AS gap_mean, round(stddev_samp(gap), 6) + 0.0 AS gap_std, count(DISTINCT bet) AS bets, any_value(max_users) AS max_users FROM g JOIN m USING (ip) GROUP BY ip""",
