@@ -13,11 +13,14 @@ nor the trie is ever whole in one place.
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -27,7 +30,7 @@ from driftwell.llm.store import discard, materialise
 ORDER = 5
 SPAN = ORDER + 1
 #: Characters of a block, and bytes that are coded at once.
-BLOCK_CHARS, CHUNK = 24_000_000, 1_500_000
+BLOCK_CHARS, CHUNK = 16_000_000, 1_500_000
 PAD, GAP, END = b"\t", b" ", b"\n"  # white space never stands in a word
 BYTES = 256
 
@@ -139,8 +142,19 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, train: Column, blocks:
     return docs.select(block.alias("block"), F.col(id_col).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), pack(F.col(text_col)).alias("blob"))
 
 
+def _trim() -> None:
+    """Give back what the last block has left; workers live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def _gather(frame: pd.DataFrame) -> pd.DataFrame:
     """A block's distinct words and grams, and how often its training texts have them."""
+    _trim()
     unpress = zstandard.ZstdDecompressor()
     block = frame["block"].iloc[0]
     counted: Counter = Counter()
@@ -162,11 +176,16 @@ def _gather(frame: pd.DataFrame) -> pd.DataFrame:
             keys, n = np.unique(grams(b"".join(held)), return_counts=True)
             found = list(_sum(np.r_[found[0], keys], np.r_[found[1], n * flag]))
     words = pd.DataFrame({"block": block, "word": list(counted.keys()), "gram": pd.Series(-1, index=range(len(counted)), dtype="int64"), "n": np.fromiter(counted.values(), dtype=np.int64, count=len(counted))})
-    return pd.concat([words, pd.DataFrame({"block": block, "word": None, "gram": found[0], "n": found[1]})], ignore_index=True)
+    counted.clear()
+    out = pd.concat([words, pd.DataFrame({"block": block, "word": None, "gram": found[0], "n": found[1]})], ignore_index=True)
+    del words, found
+    _trim()
+    return out
 
 
 def _score(key, frame: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
     """Of a block's documents: tokens, known ones, sum of log10(count + 1) and log10 probability."""
+    _trim()
     unpress = zstandard.ZstdDecompressor()
     is_word = slices["gram"].to_numpy() < 0
     value = slices["value"].to_numpy()
@@ -189,6 +208,9 @@ def _score(key, frame: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
         each = lengths[np.searchsorted(keys, grams(b"".join(held)))]
         starts = np.cumsum([0, *(len(x) - ORDER for x in held)])[:-1]
         score.extend(np.add.reduceat(each, starts))
+    log_count.clear()
+    del keys, lengths, value, is_word
+    _trim()
     return pd.DataFrame({"id": frame["id"], "words": n, "known": known, "logs": base, "score": score})
 
 
