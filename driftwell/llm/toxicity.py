@@ -76,13 +76,14 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     if not positive or not unlabelled:
         return PuModel(np.zeros(0, dtype=np.int32), np.zeros(0), start)
     texts = [*positive, *unlabelled]
-    row = np.repeat(np.arange(len(texts)), [len(x) for x in texts])
-    slots, col, n = np.unique(np.concatenate(texts), return_inverse=True, return_counts=True)
-    in_p = np.bincount(col[row < len(positive)], minlength=len(slots))
-    common = (n >= least) & (_evidence(in_p, len(positive), n - in_p, len(unlabelled)) >= evidence)
-    kept = common[col]
-    row, col = row[kept], (np.cumsum(common) - 1)[col[kept]]
-    slots = slots[common]
+    in_p, in_u = (np.bincount(np.concatenate(x), minlength=SLOTS) for x in (positive, unlabelled))
+    common = np.flatnonzero(in_p + in_u >= least)
+    slots = common[_evidence(in_p[common], len(positive), in_u[common], len(unlabelled)) >= evidence].astype(np.int32)
+    place = np.full(SLOTS, -1, dtype=np.int32)
+    place[slots] = np.arange(len(slots))
+    kept = [x[x >= 0] for x in (place[t] for t in texts)]
+    row, col = np.repeat(np.arange(len(texts)), [len(x) for x in kept]), np.concatenate(kept)
+    del in_p, in_u, place, kept
     pos = np.arange(len(texts)) < len(positive)
     n_p, n_u = pos.sum(), (~pos).sum()
     w, b = np.zeros(len(slots)), start
@@ -131,6 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3_000, unlabelled:
 
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", filled("text").alias("slots")).collect()
     texts = {k: [np.frombuffer(r["slots"], dtype=np.int32) for r in rows if r["toxic"] == k] for k in (True, False)}
+    del rows
     return train(texts[True], texts[False], prior)
 
 
