@@ -34,7 +34,8 @@ TEMPLATES = (
 )
 THRESHOLD = 0.9
 #: What parts words, before and after A-Z is lower-cased.
-_GAP, _IN = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+_PARTING = "".join(f"\\x{c:02X}" for c in range(128) if not chr(c).isalnum())  # listed singly: the JVM matches them by one table
+_GAP, _IN = f"[{_PARTING}]", f"[^{_PARTING}]"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -48,6 +49,17 @@ def _any_of(phrases: list[str]) -> str:
     return rf"(?i)(?<!{_IN})(?:{'|'.join(f'{_GAP}+'.join(p.split()) for p in phrases)})(?!{_IN})"
 
 
+def _maybe(low: Column, phrases: list[str]) -> Column:
+    """Has the lower-cased text all words of some phrase, wherever; spares most texts the pattern."""
+    out = F.lit(False)
+    for phrase in phrases:
+        every = F.lit(True)
+        for word in sorted(set(phrase.split()), key=len, reverse=True):
+            every = every & low.contains(word)
+        out = out | every
+    return out
+
+
 def _starts(words: Column, phrase: str) -> Column:
     parts = phrase.split()
     here = [F.lit(True)]
@@ -64,9 +76,10 @@ def _starts(words: Column, phrase: str) -> Column:
 def frequencies(docs: DataFrame, text: Column, vocabulary: list[str]) -> dict[str, int]:
     """How often the whole corpus has each word of ``vocabulary``; only these few counts reach the driver."""
     known = F.broadcast(docs.sparkSession.createDataFrame([(w,) for w in vocabulary], "known string"))  # the templates' words
-    word = F.explode(F.regexp_extract_all(text, F.lit(f"({_IN}+)"), 1)).alias("word")
-    found = docs.select(word).join(known, F.lower("word") == F.col("known")).where(F.translate("word", _UPPER, _LOWER) == F.col("known"))
-    return {r["known"]: r["count"] for r in found.groupBy("known").count().collect()}
+    # equal runs between spaces combine before any is taken apart
+    runs = docs.select(F.explode(F.split(text, " ", -1)).alias("run")).groupBy("run").agg(F.count("*").alias("n"))
+    found = runs.select(F.explode(words_of(F.col("run"))).alias("known"), "n").join(known, "known")
+    return {r["known"]: r["n"] for r in found.groupBy("known").agg(F.sum("n").alias("n")).collect()}
 
 
 def matches(docs: DataFrame, key: list[Column], text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
@@ -117,15 +130,15 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = found.groupBy("k0", "k1").agg(F.collect_set("label").alias("more"), F.max("score").alias("share"))
     found = materialise(found, "licences")
 
-    hit = F.col("text").rlike(_any_of([p for p, _ in PHRASES]))
+    hit = _maybe(F.col("low"), [p for p, _ in PHRASES]) & F.col("text").rlike(_any_of([p for p, _ in PHRASES]))
     places = F.array(*(_starts(F.col("words"), p) for p, _ in PHRASES))
-    base = rows.withColumn("words", F.when(hit, words_of(F.col("text")))).withColumn("places", F.when(hit, places))
+    base = rows.withColumn("low", F.lower("text")).withColumn("hit", hit).withColumn("words", F.when(F.col("hit"), words_of(F.col("text")))).withColumn("places", F.when(F.col("hit"), places))
     flat = F.flatten("places")
     labels = F.filter(F.array(*(F.when(F.size(F.get("places", F.lit(i))) > 0, F.lit(label)) for i, (_, label) in enumerate(PHRASES))), lambda x: x.isNotNull())
     slim = base.select(
         "id",
         key[1].alias("digest"),
-        F.regexp_count(F.col("text"), F.lit(f"{_IN}+")).cast("long").alias("n_words"),
+        (F.size(F.split("text", f"{_IN}+", -1)) - 1).cast("long").alias("n_words"),  # gaps around the words, less one
         F.coalesce(F.size(flat), F.lit(0)).cast("long").alias("n_base"),
         F.array_min(flat).cast("long").alias("first_word"),
         F.array_max(flat).cast("long").alias("last_word"),
