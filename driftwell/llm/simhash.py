@@ -214,16 +214,15 @@ class GrayIndex:
         return label
 
 
-def _codes(hexes: pd.Series, bits: int) -> np.ndarray:
-    raw = bytes.fromhex("".join(hexes))
-    return np.frombuffer(raw, dtype=">u8").reshape(len(hexes), bits // 64).astype(np.uint64)
+def _codes(raw: pd.Series, bits: int) -> np.ndarray:
+    return np.frombuffer(b"".join(raw), dtype=">u8").reshape(len(raw), bits // 64).astype(np.uint64)
 
 
 def _search(bits: int, max_diff: int):
     def links(held: pd.DataFrame) -> pd.DataFrame:
-        keys = pd.factorize(pd.MultiIndex.from_frame(held[["view", "key", "bi", "bj"]]))[0]
+        keys = pd.factorize(pd.MultiIndex.from_frame(held[["slot", "part"]]))[0]
         many = np.bincount(keys)[keys] > 1
-        held, keys = held["fingerprint"].to_numpy()[many], keys[many]
+        held, keys = held["code"].to_numpy()[many], keys[many]
         if not len(held):
             return pd.DataFrame({"u": [], "v": []}, dtype=object)
         codes = _codes(held, bits)
@@ -231,7 +230,7 @@ def _search(bits: int, max_diff: int):
         order = np.lexsort([*rank.T[::-1], keys])
         label = GrayIndex(codes[order], keys[order]).components(max_diff)
         far = np.flatnonzero(label != np.arange(len(label)))
-        return pd.DataFrame({"u": held[order[far]], "v": held[order[label[far]]]}).drop_duplicates()
+        return pd.DataFrame({"u": [x.hex() for x in held[order[far]]], "v": [x.hex() for x in held[order[label[far]]]]}, dtype=object).drop_duplicates()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -242,8 +241,8 @@ def _search(bits: int, max_diff: int):
             if rows < BATCH:
                 continue
             whole = pd.concat(held, ignore_index=True)
-            last = whole[["view", "key", "bi", "bj"]].iloc[-1]
-            open_ = (whole[["view", "key", "bi", "bj"]] == last).all(axis=1).to_numpy()
+            last = whole[["slot", "part"]].iloc[-1]
+            open_ = (whole[["slot", "part"]] == last).all(axis=1).to_numpy()
             if not open_.all():
                 yield links(whole[~open_])
             held = [whole[open_]]
@@ -258,32 +257,33 @@ def linked(codes: DataFrame, bits: int, max_diff: int, views: list[list[int]]) -
     """Distinct ``codes`` (fingerprint) to edges (u, v) that span each component of
     codes at ``max_diff`` or fewer differences sharing a view.
 
-    A view's key with over ``GROUP_LIMIT`` codes is cut into blocks, and each
+    A slot (a view's key) with over ``GROUP_LIMIT`` codes is cut into blocks, and each
     pair of blocks is searched by a task of its own.
     """
     spark = codes.sparkSession
 
     @F.pandas_udf("array<long>")
-    def keyed(hexes: pd.Series) -> pd.Series:
-        bit = np.unpackbits(_codes(hexes, bits)[:, ::-1].copy().view(np.uint8), axis=1, bitorder="little") if len(hexes) else np.zeros((0, bits))
-        each = [bit[:, v].astype(np.int64) @ (1 << np.arange(len(v), dtype=np.int64)) for v in views]
-        return pd.Series(list(np.stack(each, axis=1)) if len(hexes) else [], dtype=object)
-
-    spread = materialise(codes.select("fingerprint", F.posexplode(keyed("fingerprint")).alias("view", "key")), "views")
-    hot = materialise(spread.groupBy("view", "key").count().where(F.col("count") > GROUP_LIMIT).select("view", "key", F.ceil(F.col("count") / GROUP_LIMIT).cast("int").alias("blocks")), "hot")
+    def keyed(raw: pd.Series) -> pd.Series:
+        """A slot for each view's key.  Where it overflows, keys may share one: that only adds pairs to compare."""
+        bit = np.unpackbits(_codes(raw, bits)[:, ::-1].copy().view(np.uint8), axis=1, bitorder="little") if len(raw) else np.zeros((0, bits))
+        each = [bit[:, v].astype(np.int64) @ (1 << np.arange(len(v), dtype=np.int64)) * len(views) + i for i, v in enumerate(views)]
+        return pd.Series(list(np.stack(each, axis=1)) if len(raw) else [], dtype=object)
+
+    # a code is spread to every view, so its row is kept small: the bytes and one number
+    spread = materialise(codes.select(F.unhex("fingerprint").alias("code")).select("code", F.explode(keyed("code")).alias("slot")), "views")
+    hot = materialise(spread.groupBy("slot").count().where(F.col("count") > GROUP_LIMIT).select("slot", F.ceil(F.col("count") / GROUP_LIMIT).cast("long").alias("blocks")), "hot")
     if hot.isEmpty():
-        dealt = spread.withColumn("bi", F.lit(0)).withColumn("bj", F.lit(0))
+        dealt = spread.withColumn("part", F.lit(0).cast("long"))
     else:
-        own = F.pmod(F.xxhash64("fingerprint"), F.col("blocks")).cast("int")
         dealt = (
-            spread.join(hot, ["view", "key"], "left")
+            spread.join(hot, "slot", "left")
             .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-            .withColumn("own", own)
-            .withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)")))
-            .select("fingerprint", "view", "key", F.least("own", "other").alias("bi"), F.greatest("own", "other").alias("bj"))
+            .withColumn("own", F.pmod(F.xxhash64("code"), F.col("blocks")))
+            .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+            .select("code", "slot", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("part"))
         )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    together = dealt.repartition(tasks, "view", "key", "bi", "bj").sortWithinPartitions("view", "key", "bi", "bj")
+    together = dealt.repartition(tasks, "slot", "part").sortWithinPartitions("slot", "part")
     found = materialise(together.mapInPandas(_search(bits, max_diff), "u string, v string"), "links")
     discard(spread)
     discard(hot)
