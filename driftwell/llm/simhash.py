@@ -290,6 +290,18 @@ def linked(codes: DataFrame, bits: int, max_diff: int, views: list[list[int]]) -
     return found
 
 
+def _grouped(rows: DataFrame, bits: int, max_diff: int, views: list[list[int]] | None) -> DataFrame:
+    """``rows``, written and with a ``fingerprint``, and their ``group_fingerprint``."""
+    if views is None:
+        views = exact_views(bits, max_diff) if max_diff < 4 else sampled_views(bits, 20, 40)
+    codes = materialise(rows.select("fingerprint").distinct(), "codes")
+    edges = linked(codes, bits, max_diff, views)
+    groups = materialise(components(edges).select(F.col("node").alias("fingerprint"), F.col("component").alias("group_fingerprint")), "groups")
+    discard(codes)
+    discard(edges)
+    return rows.join(groups, "fingerprint", "left").withColumn("group_fingerprint", F.coalesce("group_fingerprint", "fingerprint"))
+
+
 def near_duplicates(df: DataFrame, text_col: str = "text", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None) -> DataFrame:
     """``df`` and two columns: ``fingerprint`` and ``group_fingerprint``, the least
     fingerprint of its component.
@@ -303,16 +315,9 @@ def near_duplicates(df: DataFrame, text_col: str = "text", shingle: int = 5, bit
     Repeated rows each keep their own row.  An empty table gives an empty table.
     Columns of ``df`` with those two names are replaced.
     """
-    if views is None:
-        views = exact_views(bits, max_diff) if max_diff < 4 else sampled_views(bits, 20, 40)
     kept = df.drop("fingerprint", "group_fingerprint")
     rows = materialise(with_fingerprint(kept, text_col, "fingerprint", shingle, bits), "fingerprints")
-    codes = materialise(rows.select("fingerprint").distinct(), "codes")
-    edges = linked(codes, bits, max_diff, views)
-    groups = materialise(components(edges).select(F.col("node").alias("fingerprint"), F.col("component").alias("group_fingerprint")), "groups")
-    discard(codes)
-    discard(edges)
-    return rows.join(groups, "fingerprint", "left").withColumn("group_fingerprint", F.coalesce("group_fingerprint", "fingerprint"))
+    return _grouped(rows, bits, max_diff, views)
 
 
 def op9_simhash_gray(spark, sf_dir: str) -> DataFrame:
@@ -326,12 +331,13 @@ def op9_simhash_gray(spark, sf_dir: str) -> DataFrame:
     return rows.join(least, "group_fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_one(spark, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", **options) -> DataFrame:
+def keep_one(spark, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None) -> DataFrame:
     """One document of each near-duplicate group: the least id, of equal ones any one.
     Columns stay as they are, whatever their names."""
     names = docs.columns
     inner = docs.select(F.struct(*names).alias("__doc"), F.monotonically_increasing_id().alias("__row"))
-    rows = near_duplicates(inner, f"__doc.{text_col}", **options)
+    rows = materialise(with_fingerprint(inner, f"__doc.{text_col}", "fingerprint", shingle, bits), "fingerprints")
     key = F.col(f"__doc.{id_col}")
-    best = rows.groupBy("group_fingerprint").agg(F.min(F.struct(key.isNull(), key, "__row")).alias("best"))
+    slim = _grouped(rows.select("__row", key.alias("__key"), "fingerprint"), bits, max_diff, views)  # no texts in its joins
+    best = slim.groupBy("group_fingerprint").agg(F.min(F.struct(F.col("__key").isNull(), "__key", "__row")).alias("best"))
     return rows.join(best.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select("__doc.*")
