@@ -29,8 +29,8 @@ from driftwell.llm.store import discard, materialise
 
 ORDER = 5
 SPAN = ORDER + 1
-#: Characters of a block, and bytes that are coded at once.
-BLOCK_CHARS, CHUNK = 16_000_000, 1_500_000
+#: Characters of a block, and bytes that are counted and scored at once.
+BLOCK_CHARS, CHUNK, SCORED = 16_000_000, 1_500_000, 500_000
 PAD, GAP, END = b"\t", b" ", b"\n"  # white space never stands in a word
 BYTES = 256
 
@@ -54,12 +54,12 @@ def grams(stream: bytes) -> np.ndarray:
     return out[a[ORDER:] != PAD[0]]
 
 
-def _chunks(texts: Iterator[list[bytes]]) -> Iterator[list[bytes]]:
+def _chunks(texts: Iterator[list[bytes]], least: int) -> Iterator[list[bytes]]:
     held, size = [], 0
     for words in texts:
         held.append(coded(words))
         size += len(held[-1])
-        if size >= CHUNK:
+        if size >= least:
             yield held
             held, size = [], 0
     if held:
@@ -172,13 +172,15 @@ def _gather(frame: pd.DataFrame) -> pd.DataFrame:
                         counted[w] += 0
                 yield words
 
-        for held in _chunks(texts()):
+        for held in _chunks(texts(), CHUNK):
             keys, n = np.unique(grams(b"".join(held)), return_counts=True)
             found = list(_sum(np.r_[found[0], keys], np.r_[found[1], n * flag]))
-    words = pd.DataFrame({"block": block, "word": list(counted.keys()), "gram": pd.Series(-1, index=range(len(counted)), dtype="int64"), "n": np.fromiter(counted.values(), dtype=np.int64, count=len(counted))})
+    words = np.full(len(counted) + len(found[0]), None, dtype=object)
+    words[: len(counted)] = list(counted)
+    n = np.r_[np.fromiter(counted.values(), dtype=np.int64, count=len(counted)), found[1]]
+    out = pd.DataFrame({"block": block, "word": words, "gram": np.r_[np.full(len(counted), -1), found[0]], "n": n})
     counted.clear()
-    out = pd.concat([words, pd.DataFrame({"block": block, "word": None, "gram": found[0], "n": found[1]})], ignore_index=True)
-    del words, found
+    del words, n, found
     _trim()
     return out
 
@@ -204,8 +206,11 @@ def _score(key, frame: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
             base.append(sum(logs))
             yield words
 
-    for held in _chunks(texts()):
-        each = lengths[np.searchsorted(keys, grams(b"".join(held)))]
+    for held in _chunks(texts(), SCORED):
+        asked = grams(b"".join(held))
+        order = np.argsort(asked)  # sorted questions find their places near each other
+        each = np.empty(len(asked))
+        each[order] = lengths[np.searchsorted(keys, asked[order])]
         starts = np.cumsum([0, *(len(x) - ORDER for x in held)])[:-1]
         score.extend(np.add.reduceat(each, starts))
     log_count.clear()
