@@ -152,19 +152,19 @@ def _trim() -> None:
         pass
 
 
-def _gather(frame: pd.DataFrame) -> pd.DataFrame:
+def _gather(block: pa.Table) -> pa.Table:
     """A block's distinct words and grams, and how often its training texts have them."""
     _trim()
     unpress = zstandard.ZstdDecompressor()
-    block = frame["block"].iloc[0]
+    train = block.column("train").to_numpy()
     counted: Counter = Counter()
     found = [np.zeros(0, dtype=np.int64)] * 2
     for flag in (True, False):
-        blobs = frame["blob"][frame["train"] == flag]
+        blobs = block.column("blob").filter(pa.array(train == flag))
 
         def texts(blobs=blobs, flag=flag) -> Iterator[list[bytes]]:
             for blob in blobs:
-                words = unpress.decompress(blob).split()
+                words = unpress.decompress(blob.as_py()).split()
                 if flag:
                     counted.update(words)
                 else:
@@ -175,35 +175,36 @@ def _gather(frame: pd.DataFrame) -> pd.DataFrame:
         for held in _chunks(texts(), CHUNK):
             keys, n = np.unique(grams(b"".join(held)), return_counts=True)
             found = list(_sum(np.r_[found[0], keys], np.r_[found[1], n * flag]))
-    words = np.full(len(counted) + len(found[0]), None, dtype=object)
-    words[: len(counted)] = list(counted)
     n = np.r_[np.fromiter(counted.values(), dtype=np.int64, count=len(counted)), found[1]]
-    out = pd.DataFrame({"block": block, "word": words, "gram": np.r_[np.full(len(counted), -1), found[0]], "n": n})
+    own = np.r_[np.full(len(counted), -1), found[0]]
+    words = pa.concat_arrays([pa.array(counted, type=pa.binary(), size=len(counted)), pa.nulls(len(found[0]), pa.binary())])
     counted.clear()
-    del words, n, found
-    _trim()
-    return out
+    number = np.full(len(own), block.column("block")[0].as_py(), dtype=np.int32)
+    return pa.table({"block": number, "word": words, "gram": own, "n": n})
 
 
-def _score(key, frame: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
+def _score(block: pa.Table, slices: pa.Table) -> pa.Table:
     """Of a block's documents: tokens, known ones, sum of log10(count + 1) and log10 probability."""
     _trim()
     unpress = zstandard.ZstdDecompressor()
-    is_word = slices["gram"].to_numpy() < 0
-    value = slices["value"].to_numpy()
-    log_count = dict(zip(slices["word"].to_numpy()[is_word], np.log10(value[is_word] + 1)))
-    keys, lengths = slices["gram"].to_numpy()[~is_word], value[~is_word]
+    keys, value = slices.column("gram").to_numpy(), slices.column("value").to_numpy()
+    is_word = keys < 0
+    words = slices.column("word").filter(pa.array(is_word)).to_pylist()
+    log_count = dict(zip(words, np.log10(value[is_word] + 1).tolist()))
+    del words
+    keys, lengths = keys[~is_word], value[~is_word]
     order = np.argsort(keys)
     keys, lengths = keys[order], lengths[order]
+    del order, value, is_word
     n, known, base, score = [], [], [], []
 
     def texts() -> Iterator[list[bytes]]:
-        for blob in frame["blob"]:
-            words = unpress.decompress(blob).split()
+        for blob in block.column("blob"):
+            words = unpress.decompress(blob.as_py()).split()
             logs = list(map(log_count.__getitem__, words))
             n.append(len(words))
             known.append(len(logs) - logs.count(0.0))
-            base.append(sum(logs))
+            base.append(float(sum(logs)))
             yield words
 
     for held in _chunks(texts(), SCORED):
@@ -214,9 +215,7 @@ def _score(key, frame: pd.DataFrame, slices: pd.DataFrame) -> pd.DataFrame:
         starts = np.cumsum([0, *(len(x) - ORDER for x in held)])[:-1]
         score.extend(np.add.reduceat(each, starts))
     log_count.clear()
-    del keys, lengths, value, is_word
-    _trim()
-    return pd.DataFrame({"id": frame["id"], "words": n, "known": known, "logs": base, "score": score})
+    return pa.table({"id": block.column("id"), "words": pa.array(n, pa.int64()), "known": pa.array(known, pa.int64()), "logs": pa.array(base, pa.float64()), "score": pa.array(score, pa.float64())})
 
 
 def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -232,7 +231,7 @@ def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_co
     blocks = max(1, -(-size // BLOCK_CHARS))
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     packed = _packed(docs.select(id_col, text_col, train.alias("__train")), id_col, text_col, F.col("__train"), blocks)
-    counted = materialise(packed.groupBy("block").applyInPandas(_gather, "block int, word binary, gram long, n long"), "counts")
+    counted = materialise(packed.groupBy("block").applyInArrow(_gather, "block int, word binary, gram long, n long"), "counts")
     own_words, own_grams = counted.where("gram < 0"), counted.where("gram >= 0")
 
     by_word = Window.partitionBy("word")
@@ -259,7 +258,7 @@ def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_co
     back = own_grams.select("block", "gram").join(lengths, "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value")
     slices = back.unionByName(words.select("block", "word", F.lit(-1).cast("long").alias("gram"), F.col("value").cast("double").alias("value")))
 
-    scored = packed.groupBy("block").cogroup(slices.groupBy("block")).applyInPandas(_score, f"id {kind}, words long, known long, logs double, score double")
+    scored = packed.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(_score, f"id {kind}, words long, known long, logs double, score double")
     end_known, end_log = int(ends > 0), float(np.log10(ends + 1))
     down = float(np.log10(tokens + kinds + 1))
     return scored.select(
