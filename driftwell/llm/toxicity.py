@@ -64,6 +64,14 @@ def _evidence(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
     return np.sign(a / n_a - b / n_b) * 2 * (own(a, n_a, rate) + own(b, n_b, rate))
 
 
+def _held(texts: list[np.ndarray]) -> np.ndarray:
+    """How many of ``texts`` fill each slot."""
+    out = np.zeros(SLOTS, dtype=np.int32)
+    for slots in texts:  # a text names a slot once
+        out[slots] += 1
+    return out
+
+
 def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 4, evidence: float = 16.0, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, beta: float = 0.0) -> PuModel:
     """Adam on the whole sample.
 
@@ -76,7 +84,7 @@ def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float
     if not positive or not unlabelled:
         return PuModel(np.zeros(0, dtype=np.int32), np.zeros(0), start)
     texts = [*positive, *unlabelled]
-    in_p, in_u = (np.bincount(np.concatenate(x), minlength=SLOTS) for x in (positive, unlabelled))
+    in_p, in_u = _held(positive), _held(unlabelled)
     common = np.flatnonzero(in_p + in_u >= least)
     slots = common[_evidence(in_p[common], len(positive), in_u[common], len(unlabelled)) >= evidence].astype(np.int32)
     place = np.full(SLOTS, -1, dtype=np.int32)
