@@ -27,7 +27,7 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each SimHash group: five-word shingles, a similarity of 0.8 or more."""
+    """One document of each group of near copies: a Jaccard similarity of 0.8 or more of five-word shingles."""
     return keep_one(spark, docs)
 
 

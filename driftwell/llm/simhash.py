@@ -27,6 +27,10 @@ FRONTIER = 16_384
 GROUP_LIMIT = 50_000
 #: Rows that a task gathers before it searches.
 BATCH = 200_000
+#: Pairs of rows that one step of the exact links compares by size and place.
+PAIRS = 1_000_000
+#: Texts whose common shingles are counted, and shingles that are told to workers.
+HOT_SAMPLE, HOT_LIMIT = 20_000, 50_000
 _BIT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -51,13 +55,37 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def _words(text: str | None) -> list[bytes]:
+    return (text or "").encode("utf-8", "surrogatepass").lower().split()
+
+
+def _shingles(words: list[bytes], size: int) -> np.ndarray:
+    """The hash of each run of ``size`` words, from the words' XXH64 values (seed 42)."""
+    own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), dtype="<u8", count=len(words))
+    n = len(words) - size + 1
+    whole = np.zeros(n, dtype="<u8")
+    with np.errstate(over="ignore"):
+        for i in range(size):
+            whole = _mix(whole + own[i : i + n] + np.uint64(i + 1))
+    return whole
+
+
+def shingle_set(text: str | None, shingle: int) -> np.ndarray:
+    """The sorted distinct shingle hashes of a text; one that is shorter is a single shingle."""
+    words = _words(text)
+    if not words:
+        return np.zeros(0, dtype="<u8")
+    size = min(shingle, len(words))
+    return np.unique(_shingles(words, size) + np.uint64(0 if size == shingle else size))
+
+
 def fingerprint(text: str | None, shingle: int, bits: int) -> str:
     """Hex digits of a text's SimHash; words are runs of anything but ASCII white space.
 
     64 bits hash the shingle's text by XXH64 (seed 42).  Wider fingerprints mix
     the words' XXH64 values, a lane for each 64 bits.  No word: zero.
     """
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    words = _words(text)
     lanes = bits // 64
     if not words:
         return "0" * (bits // 4)
@@ -72,12 +100,8 @@ def fingerprint(text: str | None, shingle: int, bits: int) -> str:
             parts.append(np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(42)), dtype="<u8", count=upto - at))
         hashes = np.concatenate(parts)[:, None]
     else:
-        own = np.fromiter(map(xxhash.xxh64_intdigest, words, repeat(42)), dtype="<u8", count=len(words))
-        n = len(words) - size + 1
+        whole = _shingles(words, size)
         with np.errstate(over="ignore"):
-            whole = np.zeros(n, dtype="<u8")
-            for i in range(size):
-                whole = _mix(whole + own[i : i + n] + np.uint64(i + 1))
             hashes = np.stack([_mix(whole + np.uint64((lane + 1) * 0x9E3779B97F4A7C15 % 2**64)) for lane in range(lanes)], axis=1)
     return "".join(f"{int(w):016x}" for w in _majority(hashes)[::-1])
 
@@ -331,13 +355,174 @@ def op9_simhash_gray(spark, sf_dir: str) -> DataFrame:
     return rows.join(least, "group_fingerprint").select("doc_id", "fingerprint", "component_id")
 
 
-def keep_one(spark, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None) -> DataFrame:
+# ----------------------------------------------------------------- exact links
+
+
+def _sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """``texts`` (row, text, ...) and a ``digest`` of each text's shingle set."""
+
+    @F.pandas_udf("binary")
+    def digest(texts: pd.Series) -> pd.Series:
+        return pd.Series([xxhash.xxh3_128_digest(shingle_set(t, shingle).tobytes()) for t in texts], dtype=object)
+
+    return texts.withColumn("digest", digest("text"))
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Those of ``pairs`` (u, v) whose shingle sets have a Jaccard similarity of ``least`` or more."""
+
+    @F.pandas_udf("boolean")
+    def near(a: pd.Series, b: pd.Series) -> pd.Series:
+        out, last, x = [], None, None
+        for s, t in zip(a, b):
+            if x is None or s != last:
+                last, x = s, shingle_set(s, shingle)
+            y = shingle_set(t, shingle)
+            both = len(np.intersect1d(x, y, assume_unique=True))
+            out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+        return pd.Series(out, dtype=bool)
+
+    left = texts.select(F.col("row").alias("u"), F.col("text").alias("a"))
+    right = texts.select(F.col("row").alias("v"), F.col("text").alias("b"))
+    return materialise(pairs.join(left, "u").join(right, "v").where(near("a", "b")).select("u", "v"), "verified")
+
+
+def _hot(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several of some 20,000 texts hold, and how many do.  They only put
+    shingles in order, common ones last: links are the same whatever is counted."""
+    share = min(1.0, HOT_SAMPLE / max(1, texts.count()))
+    some = texts.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
+
+    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for text in frame["text"]:
+                yield pd.DataFrame({"token": shingle_set(text, shingle).view("<i8")})
+
+    held = some.select("text").mapInPandas(each, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
+    top = held.orderBy(F.desc("n"), "token").limit(HOT_LIMIT).collect()
+    token = np.array([r["token"] for r in top], dtype="<i8").view("<u8")
+    order = np.argsort(token)
+    return token[order], np.array([r["n"] for r in top], dtype=np.int64)[order]
+
+
+def prefix(tokens: np.ndarray, hot: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
+    """The rarest of a sorted set's tokens, so many that two sets of similarity ``least`` share one."""
+    known, counts = hot
+    n = np.zeros(len(tokens), dtype=np.int64)
+    if len(known):
+        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
+        n = np.where(known[at] == tokens, counts[at], 0)
+    return tokens[np.lexsort((tokens, n))[: len(tokens) - int(np.ceil(least * len(tokens) - 1e-9)) + 1]]
+
+
+def _meetings(least: float):
+    """Pairs of rows of different components that share a token and may reach ``least``."""
+
+    def pairs(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        held = held.sort_values(["token", "size"], kind="stable")
+        token, own, size, at, comp = (held[c].to_numpy() for c in ("token", "row", "size", "at", "comp"))
+        run = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1
+        first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
+        mixed = (np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first))[run]
+        own, size, at, comp, run = own[mixed], size[mixed].astype(np.int64), at[mixed], comp[mixed], run[mixed].astype(np.int64)
+        upto = np.searchsorted((run << 32) + size, (run << 32) + np.floor(size / least + 1e-9).astype(np.int64), side="right")
+        more = upto - np.arange(len(own)) - 1  # the others of its run that aren't too large
+        ends = np.cumsum(more)
+        begin = 0
+        while begin < len(own):
+            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
+            n = more[begin:stop]
+            a = np.repeat(np.arange(begin, stop), n)
+            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
+            need = np.ceil(least / (1 + least) * (size[a] + size[b]) - 1e-9)
+            keep = (comp[a] != comp[b]) & (1 + np.minimum(size[a] - at[a], size[b] - at[b]) - 1 >= need)
+            a, b = own[a[keep]], own[b[keep]]
+            if len(a):
+                yield pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)}).drop_duplicates()
+            begin = stop
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held, rows = [], 0
+        for frame in frames:
+            held.append(frame)
+            rows += len(frame)
+            if rows < BATCH:
+                continue
+            whole = pd.concat(held, ignore_index=True)
+            open_ = (whole["token"] == whole["token"].iloc[-1]).to_numpy()
+            if not open_.all():
+                yield from pairs(whole[~open_])
+            held = [whole[open_]]
+            rows = len(held[0])
+        if rows:
+            yield from pairs(pd.concat(held, ignore_index=True))
+
+    return run
+
+
+def similar(texts: DataFrame, joined: DataFrame, shingle: int, least: float) -> DataFrame:
+    """Pairs (u, v) of ``texts`` (row, text, tried; different shingle sets) with a Jaccard similarity
+    of ``least`` or more that link different components of ``joined`` (node, component).
+    Only rows with ``tried`` may be nodes of it: the others' texts needn't meet it.
+
+    Exact: sets that similar share one of their rarest tokens (prefix filter), and
+    each pair that does and passes the length and positional filters is compared whole.
+    """
+    hot = texts.sparkSession.sparkContext.broadcast(_hot(texts, shingle))
+
+    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for own, comp, text in zip(frame["row"], frame["comp"], frame["text"]):
+                whole = shingle_set(text, shingle)
+                if not len(whole):
+                    continue
+                rare = prefix(whole, hot.value, least)
+                yield pd.DataFrame({"token": rare.view("<i8"), "row": own, "comp": comp, "size": len(whole), "at": np.arange(len(rare))})
+
+    alone = texts.where(~F.col("tried")).select("row", F.col("row").alias("comp"), "text")
+    tried = texts.where("tried").join(joined.select(F.col("node").alias("row"), F.col("component").alias("comp")), "row", "left")
+    rows = alone.unionByName(tried.select("row", F.coalesce("comp", "row").alias("comp"), "text")).mapInPandas(tokens, "token long, row long, comp long, size int, at int")
+    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    together = rows.repartition(tasks, "token").sortWithinPartitions("token")
+    met = materialise(together.mapInPandas(_meetings(least), "u long, v long").distinct(), "met")
+    some = met.select(F.col("u").alias("row")).unionByName(met.select(F.col("v").alias("row"))).distinct()
+    some = materialise(texts.select("row", "text").join(some, "row", "left_semi"), "met-texts")
+    found = _verified(met, some, shingle, least)
+    discard(met)
+    discard(some)
+    return found
+
+
+def keep_one(spark, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None, least: float = 0.8) -> DataFrame:
     """One document of each near-duplicate group: the least id, of equal ones any one.
-    Columns stay as they are, whatever their names."""
+    Columns stay as they are, whatever their names.
+
+    Groups are the components of all pairs with a Jaccard similarity of
+    ``least`` or more of their shingle sets.  SimHash links are candidates, each
+    compared whole; what they miss, ``similar`` finds between their components.
+    """
     names = docs.columns
     inner = docs.select(F.struct(*names).alias("__doc"), F.monotonically_increasing_id().alias("__row"))
     rows = materialise(with_fingerprint(inner, f"__doc.{text_col}", "fingerprint", shingle, bits), "fingerprints")
-    key = F.col(f"__doc.{id_col}")
-    slim = _grouped(rows.select("__row", key.alias("__key"), "fingerprint"), bits, max_diff, views)  # no texts in its joins
-    best = slim.groupBy("group_fingerprint").agg(F.min(F.struct(F.col("__key").isNull(), "__key", "__row")).alias("best"))
-    return rows.join(best.select(F.col("best.__row").alias("__row")), "__row", "left_semi").select("__doc.*")
+    own = _sets(rows.select(F.col("__row").alias("row"), F.col(f"__doc.{text_col}").alias("text"), "fingerprint", F.col(f"__doc.{id_col}").alias("key")), shingle)
+    slim = materialise(own.select("row", "key", "fingerprint", "digest"), "digests")
+    sole = materialise(slim.groupBy("digest").agg(F.min("row").alias("row"), F.min("fingerprint").alias("fingerprint")), "sets")
+    if views is None:
+        views = exact_views(bits, max_diff) if max_diff < 4 else sampled_views(bits, 16, 40)
+    heads = materialise(sole.groupBy("fingerprint").agg(F.min("row").alias("head")), "codes")
+    edges = linked(heads.select("fingerprint"), bits, max_diff, views)
+    head = lambda c: heads.select(F.col("fingerprint").alias(c), F.col("head").alias(f"{c}_row"))
+    pairs = edges.join(head("u"), "u").join(head("v"), "v").select(F.col("u_row").alias("u"), F.col("v_row").alias("v"))
+    pairs = pairs.unionByName(sole.join(heads, "fingerprint").where("row <> head").select(F.col("head").alias("u"), F.col("row").alias("v")))
+    pairs = materialise(pairs.distinct(), "tried")
+    tried = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct().withColumn("tried", F.lit(True))
+    flags = materialise(sole.select("row").join(tried, "row", "left").select("row", F.coalesce("tried", F.lit(False)).alias("tried")), "flags")
+    texts = materialise(rows.select(F.col("__row").alias("row"), F.col(f"__doc.{text_col}").alias("text")).join(flags, "row"), "texts")
+    links = _verified(pairs, texts.where("tried"), shingle, least)
+    joined = materialise(components(links), "joined")
+    links = links.unionByName(similar(texts, joined, shingle, least))
+    groups = materialise(components(links).select(F.col("node").alias("row"), "component"), "groups")
+    discard(texts)
+    of = sole.join(groups, "row", "left").select("digest", F.coalesce("component", "row").alias("group"))
+    best = slim.join(of, "digest").groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), "key", "row")).alias("best"))
+    return rows.join(best.select(F.col("best.row").alias("__row")), "__row", "left_semi").select("__doc.*")

@@ -374,3 +374,21 @@ def test_pipeline_stages(spark, docs):
             assert all((a ^ b).bit_count() > 25 for a, b in itertools.combinations(codes, 2))
     got = corpus_pipeline.run(spark, DATA).toPandas()
     assert set(got.doc_id) <= set(docs.doc_id) and got.groupby("sequence_id").length.sum().max() <= 2048
+
+
+def test_keep_one_equals_exact_jaccard(spark):
+    rng = np.random.default_rng(3)
+    texts = []
+    for i in range(60):  # copies with a tail of other words: similarities from 0.7 to 0.9
+        base = [f"w{x}" for x in rng.integers(0, 10**6, 204)]
+        gone = int(rng.integers(10, 36))
+        texts += [" ".join(base), " ".join([*base[:-gone], *(f"v{x}" for x in rng.integers(0, 10**6, gone))])]
+    sets = [{tuple(w[i : i + 5]) for i in range(len(w) - 4)} for w in map(str.split, texts)]
+    label = list(range(len(texts)))
+    near = {(i, j) for i, j in itertools.combinations(label, 2) if 10 * len(sets[i] & sets[j]) >= 8 * len(sets[i] | sets[j])}
+    assert 10 < len(near) < 50
+    for i, j in sorted(near):
+        label = [label[i] if x == label[j] else x for x in label]
+    rows = [(i, t, "en", "s", 1, 0.0, "f") for i, t in enumerate(texts)]
+    got = simhash.keep_one(spark, spark.createDataFrame(rows, DOCS))
+    assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(label))
