@@ -46,6 +46,10 @@ class Encoder:
         self.bpe = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.memory: dict[str, bytes] = {}
         self.apart = re.compile(r"\s ").search
+        self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in spec["added_tokens"]}
+        if any(t.get(k) for t in spec["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized")):
+            raise ValueError("added tokens that are matched as words, stripped or normalized")
+        self.at_added = re.compile("|".join(map(re.escape, sorted(self.added, key=len, reverse=True)))) if self.added else None
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -74,6 +78,17 @@ class Encoder:
             out.append(got)
         return b"".join(out)
 
+    def library_ids(self, text: str) -> bytes:
+        """The ids that the library gives by default: added tokens, such as special ones, are cut
+        out of the text first, and the parts between them are ordinary text."""
+        if self.at_added is None or not self.at_added.search(text):
+            return self.ids(text)
+        out, at = [], 0
+        for m in self.at_added.finditer(text):
+            out += [self.ids(text[at : m.start()]), self.added[m.group()]]
+            at = m.end()
+        return b"".join([*out, self.ids(text[at:])])
+
 
 def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False, end: int = 0) -> DataFrame:
     """Rows (id, piece, start, length, ids_crc32, and ids if asked) of each document.
@@ -90,7 +105,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "
         for frame in frames:
             rows = []
             for key, text in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
-                raw = encoder.ids(text or "") + last
+                raw = encoder.library_ids(text or "") + last
                 n = len(raw) // 4
                 at, piece = 0, 0
                 while at < n:

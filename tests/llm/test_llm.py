@@ -62,6 +62,18 @@ def test_encoder_equals_library(text):
     assert np.frombuffer(packing.Encoder.of(path).ids(text), dtype="<u4").tolist() == bpe.encode(text, add_special_tokens=False).ids
 
 
+def test_pieces_hold_the_library_ids_of_special_tokens(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    bpe = Tokenizer.from_file(path)
+    texts = ["x <|endoftext|> a", "<|endoftext|>", "<|endoftext|><|endoftext|>  b", "a<|endoftext|>\nb <|endoftext", " <|endoftext|> ", "é  <|ENDOFTEXT|> <|endoftext|>é"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r["ids"] for r in packing.token_pieces(df, path, 64, with_ids=True).collect()}
+    assert got == {i: [*bpe.encode(t, add_special_tokens=False).ids, 0] for i, t in enumerate(texts)}
+
+
 def optimum(items, capacity):
     best = [len(items)]
 
