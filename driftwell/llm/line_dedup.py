@@ -31,15 +31,23 @@ def host_of(url: Column) -> Column:
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), HOST, 1))
 
 
+def _raw_lines(text: Column) -> Column:
+    return F.split(F.coalesce(text, F.lit("")), "\n", -1)
+
+
+def _trimmed(line: Column) -> Column:
+    return F.regexp_replace(line, r"^\s+|\s+$", "")
+
+
 def _lines(text: Column) -> Column:
-    each = F.transform(F.split(F.coalesce(text, F.lit("")), "\n", -1), lambda x: F.regexp_replace(x, r"^\s+|\s+$", ""))
-    return F.filter(each, lambda x: x != "")
+    return F.filter(F.transform(_raw_lines(text), _trimmed), lambda x: x != "")
 
 
-def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, least_pages: int, name: str = "clean") -> DataFrame:
+def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, least_pages: int, name: str = "clean", verbatim: bool = False) -> DataFrame:
     """``df`` and a struct ``name``: host, n_lines, n_dropped, text.
 
-    Lines are trimmed and empty ones left out.  A line goes from all pages of a
+    Lines are trimmed and empty ones left out; if ``verbatim``, only to compare
+    and count them, and the text keeps its other lines as they are.  A line goes from all pages of a
     host if the pages that hold it, over the host's pages, are more than
     ``ratio``; hosts with fewer than ``least_pages`` pages lose none.  Null
     hosts are one host, a null text has no line, a repeated row is a page more.
@@ -58,7 +66,11 @@ def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, le
     joined = df.withColumn("__host", host).join(lost, "__host", "left")
     kept = F.filter(F.col("__lines"), lambda x: F.col("__lost").isNull() | ~F.array_contains(F.coalesce("__lost", F.array().cast("array<string>")), F.md5(x.cast("binary"))))
     out = joined.withColumn("__lines", _lines(text)).withColumn("__kept", kept)
-    clean = F.struct(F.col("__host").alias("host"), F.size("__lines").cast("long").alias("n_lines"), (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"), F.array_join("__kept", "\n").alias("text"))
+    put = F.col("__kept")
+    if verbatim:
+        gone = F.coalesce("__lost", F.array().cast("array<string>"))
+        put = F.filter(_raw_lines(text), lambda x: ~F.array_contains(gone, F.md5(_trimmed(x).cast("binary"))))
+    clean = F.struct(F.col("__host").alias("host"), F.size("__lines").cast("long").alias("n_lines"), (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"), F.array_join(put, "\n").alias("text"))
     return out.withColumn(name, clean).drop("__host", "__lost", "__lines", "__kept")
 
 
@@ -71,12 +83,13 @@ def op10_site_line_dedup(spark, sf_dir: str) -> DataFrame:
 def clean_lines(spark, docs: DataFrame, ratio: float = 0.1, least_pages: int = 20) -> DataFrame:
     """``docs`` without lines that over ``ratio`` of a source's documents hold.
 
-    Only documents that lose a line change; n_chars follows the text.  A
+    Only documents that lose a line change, and only by those lines: indentation
+    and blank lines of the rest stay.  n_chars follows the text.  A
     document that would lose every line stays as it is: a text that is copied
     as a whole is for the next stage, not boilerplate.
     """
     inner = docs.select(F.struct(*docs.columns).alias("__doc"))
-    out = drop_boilerplate(inner, F.col("__doc.source"), F.col("__doc.text"), ratio, least_pages, "__clean")
+    out = drop_boilerplate(inner, F.col("__doc.source"), F.col("__doc.text"), ratio, least_pages, "__clean", verbatim=True)
     lost = (F.col("__clean.n_dropped") > 0) & (F.col("__clean.n_dropped") < F.col("__clean.n_lines"))
     put = {"text": F.when(lost, F.col("__clean.text")).otherwise(F.col("__doc.text"))}
     if "n_chars" in docs.columns:

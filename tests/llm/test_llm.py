@@ -317,6 +317,13 @@ def test_clean_lines_keeps_columns_and_copies(spark):
     assert line_dedup.clean_lines(None, spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_clean_lines_cuts_only_the_boilerplate(spark):
+    rows = [(i, f"  def f{i}():\n\n\tshared \n    return {i}\n", "en", "s", 9, 0.0, "f") for i in range(20)]
+    for r in line_dedup.clean_lines(None, spark.createDataFrame(rows, DOCS)).collect():
+        want = f"  def f{r['doc_id']}():\n\n    return {r['doc_id']}\n"
+        assert (r["text"], r["n_chars"]) == (want, len(want))
+
+
 def test_budgets_go_to_siblings_before_ancestors(spark):
     rows = [("web", "en", "a", 10), ("web", "en", "b", 1000), ("web", "de", "c", 1000), ("books", "en", "d", 1000)]
     leaves = spark.createDataFrame(rows, "domain string, lang string, source string, tokens long")
