@@ -1,6 +1,7 @@
 """License scans: an exact set-similarity join of text blocks with license templates.
 
-A block is a line, a token a word.  Template tokens are ordered by their
+A block is a line, or a run of as many words as a template has, across line ends
+too; a token is a word.  Template tokens are ordered by their
 frequency in the whole corpus, the rarest first.  A block that holds the
 threshold's share of a template holds one of the template's prefix tokens; the
 length and positional filters thin the candidates, and an exact count decides.
@@ -83,10 +84,11 @@ def frequencies(docs: DataFrame, text: Column, vocabulary: list[str]) -> dict[st
 
 
 def matches(docs: DataFrame, key: list[Column], text: Column, templates=TEMPLATES, threshold: float = THRESHOLD) -> DataFrame:
-    """(key..., label, score): templates of which a line of the text holds ``threshold`` or more of the words.
+    """(key..., label, score): templates of which a line of the text, or a run of as many
+    words as the template has, holds ``threshold`` or more of the words.
 
-    ``score`` is the largest share.  Every such line is found; lines of any
-    length are compared whole.
+    ``score`` is the largest share.  Every such line and run is found; lines of any
+    length are compared whole, and runs cross line ends, as wrapped headers do.
     """
     spark = docs.sparkSession
     sets = [(label, sorted(set(words.split()))) for label, words in templates]
@@ -98,9 +100,9 @@ def matches(docs: DataFrame, key: list[Column], text: Column, templates=TEMPLATE
         ranks = sorted(place[w] for w in words)
         need = math.ceil(threshold * len(ranks) - 1e-9)
         for at, rank in enumerate(ranks[: len(ranks) - need + 1]):
-            index.append((rank, n, label, at, need, ranks))
+            index.append((rank, n, label, at, need, ranks, len(templates[n][1].split())))
             heads.add(next(w for w in words if place[w] == rank))
-    index = F.broadcast(spark.createDataFrame(index, "rank int, template int, label string, at int, need int, ranks array<int>"))  # the templates' prefixes
+    index = F.broadcast(spark.createDataFrame(index, "rank int, template int, label string, at int, need int, ranks array<int>, length int"))  # the templates' prefixes
     head = _any_of(sorted(heads))
     lines = docs.where(text.rlike(head)).select(*key, F.explode(F.split(text, "\n", -1)).alias("line")).where(F.col("line").rlike(head))
     ranked = F.create_map(*(F.lit(x) for w, i in place.items() for x in (w, i)))
@@ -112,6 +114,19 @@ def matches(docs: DataFrame, key: list[Column], text: Column, templates=TEMPLATE
     pairs = pairs.where(1 + F.least(F.size("ranks") - F.col("at") - 1, F.size("own") - F.col("here") - 1) >= F.col("need"))  # position
     held = F.size(F.array_intersect("own", "ranks"))
     exact = pairs.where(held >= F.col("need")).select(*names, "label", (held / F.size("ranks")).alias("score"))
+
+    # runs: the words around each of a template's prefix tokens, and every run among them that holds it
+    most = max(len(words.split()) for _, words in templates)
+    heads_at = sorted(place[w] for w in heads)
+    keyed = docs.where(text.rlike(head)).select(*key, F.transform(words_of(text), lambda w: F.try_element_at(ranked, w)).alias("all"))
+    keyed = keyed.select(*(F.col(c).alias(n) for c, n in zip(keyed.columns, names)), "all")
+    hits = F.filter(F.transform("all", lambda r, i: F.when(r.isin(heads_at), i)), lambda i: i.isNotNull())
+    hits = F.transform(hits, lambda i: F.struct(F.get("all", i).alias("rank"), F.least(i, F.lit(most - 1)).alias("here"), F.slice("all", F.greatest(i - most + 2, F.lit(1)), F.lit(2 * most - 1)).alias("near")))
+    around = keyed.select(*names, F.explode(hits).alias("hit")).select(*names, "hit.*").join(index, "rank")
+    starts = F.sequence(F.greatest(F.col("here") - F.col("length") + 1, F.lit(0)), F.col("here"))
+    run = F.array_max(F.transform(starts, lambda o: F.size(F.array_intersect(F.slice("near", o + 1, F.col("length")), "ranks"))))
+    around = around.withColumn("held", run).where(F.col("held") >= F.col("need"))
+    exact = exact.unionByName(around.select(*names, "label", (F.col("held") / F.size("ranks")).alias("score")))
     return exact.groupBy(*names, "label").agg(F.max("score").alias("score"))
 
 
@@ -120,7 +135,7 @@ def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     Null and empty texts have no word and no label: empty strings, score 0.
     Repeated rows get equal results.  The score is 1 with a base phrase, else
-    the largest share of a template that a line holds, if it is at the
+    the largest share of a template that a line or run holds, if it is at the
     threshold, else 0.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))

@@ -348,6 +348,16 @@ def test_license_scan_handles_odd_rows(spark):
     assert licences.license_scan(spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_license_scan_finds_wrapped_headers(spark):
+    mit = "Permission is hereby granted, free of charge, to any person obtaining a copy\nof this software and associated documentation files (the \"Software\"), to deal"
+    bsd = "# Redistribution and use in source and binary forms, with or without\n# modification, are permitted provided that the following conditions are met:"
+    mpl = " * This Source Code Form is subject to the terms of the Mozilla Public\n * License, v. 2.0. If a copy of the MPL was not distributed"
+    far = "redistribution and use in source and binary forms\n" + "other words " * 40 + "\nwith or without modification are permitted provided that the following conditions are met"
+    rows = [(i, f"a line before\n{t}\nand after", "en", "s", 1, 0.0, "f") for i, t in enumerate([mit, bsd, mpl, far])]
+    got = {r["doc_id"]: (r["labels"], r["score"]) for r in licences.license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert got == {0: ("mit", 1.0), 1: ("bsd", 1.0), 2: ("mpl-2.0", 1.0), 3: ("", 0.0)}
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op3_hierarchical_mix", "op8_license_scan", "op10_site_line_dedup"):
         plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
