@@ -29,7 +29,9 @@ def _slots(word: str) -> tuple[int, ...]:
         if len(_seen) >= REMEMBERED:
             _seen.clear()
         parts = {word + "$", *(word[:n] for n in (4, 5, 6, 7, 8) if len(word) >= n)}
-        got = _seen[word[:64]] = tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % SLOTS for p in sorted(parts))
+        got = tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % SLOTS for p in sorted(parts))
+        if len(word) <= 64:  # longer ones would fill the memory, and rarely come again
+            _seen[word] = got
     return got
 
 
