@@ -122,9 +122,10 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3_000, unlabelled:
     """A model from the documents outside fold 2.
 
     ``positives`` and ``unlabelled`` bound the sample (the least hashes of
-    doc_id); only these texts' slots reach the driver.  The class prior is the
-    share of toxic rows among the labelled ones of the training folds, unless
-    given.  A document with several labels is toxic if one says so.
+    doc_id, each id once); only these texts' slots reach the driver.  Of an id's
+    rows the least text counts.  The class prior is the share of toxic rows
+    among the labelled ones of the training folds, unless given.  A document
+    with several labels is toxic if one says so.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull()).where(F.coalesce(fold(F.col("doc_id")), F.lit(0)) != 2)
     known = known.groupBy("doc_id").agg((F.max("toxic") > 0).alias("toxic"))
@@ -133,14 +134,15 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3_000, unlabelled:
     turn = F.xxhash64(F.col("doc_id"), F.lit(4))
     yes = known.where("toxic").select("doc_id").orderBy(turn, "doc_id").limit(positives).withColumn("toxic", F.lit(True))
     rest = docs.select("doc_id").where(F.col("doc_id").isNotNull()).where(fold(F.col("doc_id")) != 2)
-    rest = rest.orderBy(turn, "doc_id").limit(unlabelled).distinct().withColumn("toxic", F.lit(False))
+    rest = rest.distinct().orderBy(turn, "doc_id").limit(unlabelled).withColumn("toxic", F.lit(False))
     chosen = F.broadcast(yes.unionByName(rest))  # positives + unlabelled ids at most
 
     @F.pandas_udf("binary")
     def filled(texts: pd.Series) -> pd.Series:
         return pd.Series([features(t).tobytes() for t in texts], dtype=object)
 
-    rows = docs.select("doc_id", "text").join(chosen, "doc_id").select("toxic", filled("text").alias("slots")).collect()
+    rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # a row an id and class
+    rows = sorted(rows.select("doc_id", "toxic", filled("text").alias("slots")).collect(), key=lambda r: (r["doc_id"], r["toxic"]))
     texts = {k: [np.frombuffer(r["slots"], dtype=np.int32) for r in rows if r["toxic"] == k] for k in (True, False)}
     del rows
     return train(texts[True], texts[False], prior)
