@@ -133,7 +133,7 @@ def derive(data: bytes | None) -> list[tuple]:
     charset = re.search(r"(?i)charset=[\"']?([\w.:-]+)", kind)
     try:
         page = body.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
+    except (LookupError, ValueError):  # no such charset, or one that refuses the bytes
         page = body.decode("utf-8", "replace")
     payload = own.get("warc-payload-digest") or digest(body)
     is_html = kind.lower().startswith(("text/html", "application/xhtml")) or not kind
