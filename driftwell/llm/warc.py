@@ -153,18 +153,27 @@ def derive(data: bytes | None) -> list[tuple]:
 
 
 def derivatives(df: DataFrame, record_col: str = "record", keep: tuple[str, ...] = ()) -> DataFrame:
-    """A row for each derived record of ``df``'s records, after the columns ``keep``.  Map side only; repeated records are derived each."""
-    kept = df.select(*keep).schema
+    """A row for each derived record of ``df``'s records, after the columns ``keep``.
+
+    Map side only; repeated records are derived each, an empty table gives an
+    empty table.  A kept column that has the name of a derived one is left out:
+    the derived record's own value stands.
+    """
     names = [f.split()[0] for f in DERIVED.split(", ")]
+    kept = [c for c in keep if c not in names]
+    fields = df.select(*kept).schema
+    held = [f"k{i}" for i in range(len(kept))]  # whatever they are called, they don't meet the record's name
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             rows = [(at, *row) for at, data in enumerate(frame["__record"]) for row in derive(data)]
             made = pd.DataFrame([r[1:] for r in rows], columns=names)
-            yield pd.concat([frame.drop(columns="__record").iloc[[r[0] for r in rows]].reset_index(drop=True), made], axis=1)
+            own = frame[held].iloc[[r[0] for r in rows]].reset_index(drop=True)
+            yield pd.concat([own, made], axis=1)
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in kept), DERIVED])
-    return df.select(*keep, F.col(record_col).alias("__record")).mapInPandas(run, schema)
+    schema = ", ".join([*(f"{h} {f.dataType.simpleString()}" for h, f in zip(held, fields)), DERIVED])
+    out = df.select(*(F.col(c).alias(h) for c, h in zip(kept, held)), F.col(record_col).alias("__record")).mapInPandas(run, schema)
+    return out.select(*(F.col(h).alias(c) for h, c in zip(held, kept)), *names)
 
 
 def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> Column:
