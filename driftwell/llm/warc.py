@@ -21,13 +21,11 @@ _CRLF = b"\r\n"
 #: The name space of record ids that are made from names.
 SPACE = uuid.NAMESPACE_URL
 DERIVED = "derivative string, record_id string, refers_to string, target_uri string, date string, content_type string, block_digest string, payload_digest string, content_length long, record binary"
-_DROP = re.compile(r"(?is)<(script|style|noscript)\b[^>]*>.*?</\1\s*>|<!--.*?-->")
-_BREAK = re.compile(r"(?i)</?(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|article|section|header|footer|nav|title|head|body|html|blockquote|pre|main|aside)\b[^>]*>")
-_TAG = re.compile(r"<[^>]*>")
-_ATTR = re.compile(r"""(?is)([a-z][a-z0-9:_-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
-_LINK = re.compile(r"(?is)<(a|img|link|script|iframe)\b([^>]*)>")
-_META = re.compile(r"(?is)<meta\b([^>]*)>")
-_TITLE = re.compile(r"(?is)<title\b[^>]*>(.*?)</title\s*>")
+_HIDDEN = ("script", "style", "noscript")
+_BLOCKS = frozenset("p div br li ul ol tr td th table h1 h2 h3 h4 h5 h6 article section header footer nav title head body html blockquote pre main aside".split())
+_NAME = re.compile(r"/?([a-zA-Z][a-zA-Z0-9]*)\b")
+_ATTR = re.compile(r"""(?is)(?<![a-z0-9:_-])([a-z][a-z0-9:_-]*+)\s*+=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+_LINKS = frozenset(("a", "img", "link", "script", "iframe"))
 
 
 def digest(data: bytes) -> str:
@@ -40,11 +38,9 @@ def record(headers: list[tuple[str, str]], block: bytes) -> bytes:
     return _CRLF.join(x.encode("utf-8", "surrogatepass") for x in lines) + _CRLF * 2 + block + _CRLF * 2
 
 
-def parse(data: bytes) -> tuple[list[tuple[str, str]], bytes]:
-    """Headers in order, and the block.  Folded lines are joined; a bad record raises ValueError."""
-    head, sep, rest = data.partition(_CRLF * 2)
+def _headers(head: bytes) -> list[tuple[str, str]]:
     first, *lines = head.split(_CRLF)
-    if not sep or not first.startswith(b"WARC/"):
+    if not first.startswith(b"WARC/"):
         raise ValueError("no WARC record")
     headers: list[tuple[str, str]] = []
     for line in lines:
@@ -55,6 +51,15 @@ def parse(data: bytes) -> tuple[list[tuple[str, str]], bytes]:
         if not colon:
             raise ValueError("a header without a colon")
         headers.append((name.decode("utf-8", "replace"), value.strip().decode("utf-8", "replace")))
+    return headers
+
+
+def parse(data: bytes) -> tuple[list[tuple[str, str]], bytes]:
+    """Headers in order, and the block.  Folded lines are joined; a bad record raises ValueError."""
+    head, sep, rest = data.partition(_CRLF * 2)
+    if not sep:
+        raise ValueError("no WARC record")
+    headers = _headers(head)
     size = dict((k.lower(), v) for k, v in headers).get("content-length", "")
     if not size.isdigit() or len(rest) < int(size):
         raise ValueError("the block isn't whole")
@@ -67,10 +72,15 @@ def records(data: bytes) -> Iterator[bytes]:
         data = gzip.decompress(data)
     at = 0
     while at < len(data):
-        headers, block = parse(data[at:])
-        size = data.index(_CRLF * 2, at) + 4 + len(block) - at
-        yield data[at : at + size + 4]
-        at += size + 4
+        head = data.find(_CRLF * 2, at) + 4
+        if head < 4:
+            raise ValueError("no WARC record")
+        size = dict((k.lower(), v) for k, v in _headers(data[at : head - 4])).get("content-length", "")
+        if not size.isdigit() or len(data) < head + int(size):
+            raise ValueError("the block isn't whole")
+        upto = head + int(size) + 4
+        yield data[at:upto]
+        at = upto
 
 
 def response(url: str, body: bytes, date: str, name: str, content_type: str = "text/html; charset=utf-8") -> bytes:
@@ -81,10 +91,56 @@ def response(url: str, body: bytes, date: str, name: str, content_type: str = "t
     return record(headers, payload)
 
 
-def plain_text(page: str) -> str:
-    """Visible text: a line for each block element, runs of white space as one space."""
-    page = _TAG.sub("", _BREAK.sub("\n", _DROP.sub("", page)))
-    lines = (" ".join(x.split()) for x in html.unescape(page).split("\n"))
+def _parts(page: str) -> Iterator[tuple[str, str, str]]:
+    """(name, inside, text after it) of each tag in order, first ("", "", text before any).
+
+    One pass from left to right: a comment and the content of a script, style or
+    noscript are left out, and ``/`` stands before the name of an end tag.  What
+    is not closed is text: the search for an end that isn't there is not repeated.
+    """
+    low, at, name, inside = page.lower(), 0, "", ""
+    if len(low) != len(page):  # some letters have longer lower cases
+        low = "".join(c.lower() if len(c.lower()) == 1 else c for c in page)
+    text: list[str] = []
+    unclosed: set[str] = set()
+
+    def find(what: str, start: int) -> int:
+        if what in unclosed:
+            return -1
+        got = low.find(what, start)
+        if got < 0:
+            unclosed.add(what)
+        return got
+
+    while True:
+        begin = low.find("<", at)
+        if begin < 0:
+            text.append(page[at:])
+            break
+        text.append(page[at:begin])
+        if low.startswith("<!--", begin) and (end := find("-->", begin + 4)) >= 0:
+            at = end + 3
+            continue
+        if (end := find(">", begin)) < 0:
+            text.append(page[begin:])
+            break
+        tag = _NAME.match(low, begin + 1, end)
+        yield name, inside, "".join(text)
+        name, inside, text, at = ("/" * (low[begin + 1] == "/") + tag[1] if tag else "!"), page[tag.end() : end] if tag else "", [], end + 1
+        if name in _HIDDEN and (close := find(f"</{name}", at)) >= 0 and (end := find(">", close)) >= 0:
+            yield name, inside, ""
+            name, inside, at = f"/{name}", "", end + 1
+    yield name, inside, "".join(text)
+
+
+def plain_text(page: str | list) -> str:
+    """Visible text of HTML or its parts: a line for each block element, runs of white space as one space."""
+    out = []
+    for name, _, text in _parts(page) if isinstance(page, str) else page:
+        if name.lstrip("/") in _BLOCKS:
+            out.append("\n")
+        out.append(text)
+    lines = (" ".join(x.split()) for x in html.unescape("".join(out)).split("\n"))
     return "\n".join(x for x in lines if x)
 
 
@@ -92,21 +148,30 @@ def _attributes(tag: str) -> dict[str, str]:
     return {m[0].lower(): html.unescape(m[1] or m[2] or m[3]) for m in _ATTR.findall(tag)}
 
 
-def page_metadata(url: str, page: str) -> dict:
-    """Title, metas and links (absolute, in order, each once) of HTML."""
-    seen = _DROP.sub("", page)
-    title = _TITLE.search(seen)
-    metas = [a for a in map(_attributes, _META.findall(seen)) if a]
-    links: dict[tuple[str, str], None] = {}
-    for tag, rest in _LINK.findall(page):
-        own = _attributes(rest)
-        if target := own.get("href") or own.get("src"):
-            try:
-                target = urljoin(url, target)
-            except ValueError:  # not a URL: kept as it stands
-                pass
-            links[(tag.lower(), target)] = None
-    return {"title": " ".join(html.unescape(_TAG.sub("", title[1])).split()) if title else None, "metas": metas, "links": [{"tag": t, "url": u} for t, u in links]}
+def page_metadata(url: str, page: str | list) -> dict:
+    """Title, metas and links (absolute, in order, each once) of HTML or its parts."""
+    title: list[str] | None = None
+    titled = False
+    metas, links = [], {}
+    for name, inside, text in _parts(page) if isinstance(page, str) else page:
+        if name == "title" and not titled and title is None:
+            title = [text]
+        elif title is not None and not titled:
+            if name == "/title":
+                titled = True
+            else:
+                title.append(text)
+        if name == "meta" and (own := _attributes(inside)):
+            metas.append(own)
+        if name in _LINKS:
+            own = _attributes(inside)
+            if target := own.get("href") or own.get("src"):
+                try:
+                    target = urljoin(url, target)
+                except ValueError:  # not a URL: kept as it stands
+                    pass
+                links[(name, target)] = None
+    return {"title": " ".join(html.unescape("".join(title)).split()) if titled else None, "metas": metas, "links": [{"tag": t, "url": u} for t, u in links]}
 
 
 def derive(data: bytes | None) -> list[tuple]:
@@ -140,6 +205,7 @@ def derive(data: bytes | None) -> list[tuple]:
     is_text = is_html or kind.lower().startswith("text/")
     envelope = {"warc-headers": [list(x) for x in headers], "http-status": status, "http-headers": [list(x) for x in http], "payload-digest": payload, "payload-length": len(body)}
     if is_html:
+        page = list(_parts(page))
         envelope["html"] = page_metadata(target, page)
     made = [("metadata", "application/json", json.dumps(envelope, ensure_ascii=False).encode("utf-8", "replace"))]
     if is_text:
