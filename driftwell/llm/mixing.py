@@ -57,12 +57,15 @@ def leaf_budgets(leaves: DataFrame, share: float, max_epochs: int, weights: dict
     """``leaves`` (domain, lang, source, tokens) with ``budget`` tokens each.
 
     The whole budget is ``share`` of all tokens; a leaf holds ``max_epochs``
-    times its own.  Each level's rows are one for each node, so the windows are
-    as small as the tree."""
+    times its own, a node what its children of a weight above 0 hold.  Each
+    level's rows are one for each node, so the windows are as small as the tree."""
     total = leaves.agg(F.floor(F.coalesce(F.sum("tokens"), F.lit(0)) * F.lit(share)).cast("long").alias("budget"))
     for depth, level in enumerate(LEVELS):
         path = list(LEVELS[: depth + 1])
-        nodes = leaves.groupBy(*path).agg((F.sum("tokens") * max_epochs).alias("cap"))
+        spent = F.lit(True)
+        for below in LEVELS[depth + 1 :]:
+            spent = spent & (_weight(below, weights) > 0)
+        nodes = leaves.groupBy(*path).agg((F.sum(F.when(spent, F.col("tokens")).otherwise(0)) * max_epochs).alias("cap"))
         nodes = nodes.crossJoin(total) if not depth else nodes.join(above, path[:-1])  # total is one row
         above = _fill(nodes, path[:-1], level, weights).select(*path, "budget")
     return leaves.join(above, list(LEVELS))
