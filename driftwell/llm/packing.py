@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import tiktoken
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,30 +96,36 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int, id_col: str = "
 
     A document is its ids and then ``end``; null text counts as empty, so it is
     ``end`` alone.  If it is longer than ``capacity``, it is cut so that only
-    the first piece may be shorter.  Repeated rows are packed each.
+    the first piece may be shorter.  Repeated rows are packed each, ids of any
+    type are kept as they are, null ones too.
     """
     kind = docs.select(id_col).schema[0].dataType.simpleString()
     last = np.array([end], dtype="<u4").tobytes()
 
-    def cut(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder.of(tokenizer)
-        for frame in frames:
-            rows = []
-            for key, text in zip(frame.iloc[:, 0], frame.iloc[:, 1]):
+        for batch in batches:
+            rows, parts = [], []
+            for at_row, text in enumerate(batch.column(1).to_pylist()):
                 raw = encoder.library_ids(text or "") + last
                 n = len(raw) // 4
                 at, piece = 0, 0
                 while at < n:
                     size = (n - 1) % capacity + 1 if at == 0 else capacity
                     part = raw[4 * at : 4 * (at + size)]
-                    rows.append((key, piece, at, size, zlib.crc32(part), *([np.frombuffer(part, dtype="<u4").astype(np.int32)] if with_ids else [])))
+                    rows.append((at_row, piece, at, size, zlib.crc32(part)))
+                    if with_ids:
+                        parts.append(np.frombuffer(part, dtype="<i4"))
                     at, piece = at + size, piece + 1
-            out = pd.DataFrame(rows, columns=["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
-            out["id"] = out["id"].astype(object).where(out["id"].notna(), None)
-            yield out
+            owner, *columns = (np.array(c) for c in zip(*rows)) if rows else [np.zeros(0, dtype=np.int64)] * 5
+            out = [batch.column(0).take(pa.array(owner, pa.int64()))]
+            out += [pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+            if with_ids:
+                out.append(pa.array(parts, pa.list_(pa.int32())))
+            yield pa.RecordBatch.from_arrays(out, names=["id", "piece", "start", "length", "ids_crc32", *["ids"] * with_ids])
 
     schema = f"id {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
-    return docs.select(id_col, text_col).mapInPandas(cut, schema).withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).mapInArrow(cut, schema).withColumnRenamed("id", id_col)
 
 
 # ---------------------------------------------------------------- the solution
