@@ -168,30 +168,32 @@ def best_fit(counts: dict[int, int], capacity: int) -> list[tuple[Pattern, int]]
 
 def _least_bins(counts: dict[int, int], capacity: int) -> int:
     """No packing has fewer bins: the filled volume, and what large lengths waste (Martello and Toth's L2)."""
-    total = sum(x * n for x, n in counts.items())
-    least = -(-total // capacity)
-    lengths = sorted(counts)
-    for small in [0, *[x for x in lengths if 2 * x <= capacity]]:
-        alone = sum(n for x, n in counts.items() if x > capacity - small)
-        half = {x: n for x, n in counts.items() if capacity / 2 < x <= capacity - small}
-        rest = sum(x * n for x, n in counts.items() if small <= x <= capacity / 2)
-        over = rest - sum((capacity - x) * n for x, n in half.items())
-        least = max(least, alone + sum(half.values()) + max(0, -(-over // capacity)))
-    return least
-
-
-def fillings(counts: dict[int, int], room: int, effort: int) -> list[tuple[int, Pattern]]:
-    """Undominated ways (waste, filling) to use ``room``, the least waste first.
+    if not counts:
+        return 0
+    x = np.array(sorted(counts), dtype=np.int64)
+    n = np.array([counts[int(v)] for v in x], dtype=np.int64)
+    number, volume = np.r_[0, np.cumsum(n)], np.r_[0, np.cumsum(n * x)]  # of the lengths before a place
+    small = np.r_[0, x[2 * x <= capacity]]
+    middle = np.searchsorted(x, capacity // 2, side="right")
+    large = np.maximum(np.searchsorted(x, capacity - small, side="right"), middle)
+    over = volume[middle] - volume[np.searchsorted(x, small)] - ((large > middle) * (capacity * (number[large] - number[middle]) - (volume[large] - volume[middle])))
+    bins = number[-1] - number[middle] + np.maximum(0, -(-over // capacity))
+    return int(max(-(-volume[-1] // capacity), bins.max()))
+
+
+def fillings(counts: dict[int, int], room: int, effort: int, every: bool = False) -> tuple[list[tuple[int, Pattern]], bool]:
+    """Undominated ways (waste, filling) to use ``room``, the least waste first, and whether they are all.
 
     A filling is dominated if a length that is left fits beside it, could stand
-    in for one of its lengths with less waste, or for two of them.
-    ``effort`` bounds the steps of the enumeration.
+    in for one of its lengths with less waste, or for two of them.  ``effort``
+    bounds the steps of the enumeration; unless ``every``, it ends at the first
+    filling without waste.
     """
     lengths = np.array(sorted((x for x in counts if x <= room and counts[x]), reverse=True), dtype=np.int64)
     found: dict[Pattern, int] = {}
-    steps = 0
+    used: dict[int, int] = {}
 
-    def spare(low: int, high: int, used: dict[int, int]) -> bool:
+    def spare(low: int, high: int) -> bool:
         at = np.searchsorted(-lengths, -high)
         while at < len(lengths) and lengths[at] >= low:
             if counts[int(lengths[at])] > used.get(int(lengths[at]), 0):
@@ -199,73 +201,107 @@ def fillings(counts: dict[int, int], room: int, effort: int) -> list[tuple[int,
             at += 1
         return False
 
-    def dominated(used: dict[int, int], waste: int) -> bool:
-        if spare(1, waste, used):
+    def dominated(waste: int) -> bool:
+        if spare(1, waste):
             return True
         mine = sorted(used)
-        if any(spare(x + 1, x + waste, used) for x in mine):
+        if any(spare(x + 1, x + waste) for x in mine):
             return True
-        return any(spare(x + y, x + y + waste, used) for i, x in enumerate(mine) for y in mine[i + (used[x] < 2) :])
-
-    def go(at: int, left: int, used: dict[int, int]) -> None:
-        nonlocal steps
-        steps += 1
-        if steps > effort:
-            return
-        moved = False
+        return any(spare(x + y, x + y + waste) for i, x in enumerate(mine) for y in mine[i + (used[x] < 2) :])
+
+    path: list[int] = []
+    stack = [[0, room, 0]]  # from which length on, room left, lengths tried below
+    steps = 0
+    while stack:
+        at, left, tried = frame = stack[-1]
         at = max(at, int(np.searchsorted(-lengths, -left)))
-        for i in range(at, len(lengths)):
-            x = int(lengths[i])
-            if used.get(x, 0) < counts[x]:
-                moved = True
-                used[x] = used.get(x, 0) + 1
-                go(i, left - x, used)
-                used[x] -= 1
-                if not used[x]:
-                    del used[x]
-            if steps > effort or any(w == 0 for w in list(found.values())[-4:]):
+        while at < len(lengths) and used.get(int(lengths[at]), 0) >= counts[int(lengths[at])]:
+            at += 1
+        if at < len(lengths):
+            steps += 1
+            if steps > effort:
                 break
-        if not moved and not dominated(used, left):
+            x = int(lengths[at])
+            frame[0], frame[2] = at + 1, tried + 1
+            used[x] = used.get(x, 0) + 1
+            path.append(x)
+            stack.append([at, left - x, 0])
+            continue
+        if not tried and not dominated(left):
             found[tuple(sorted(used.items(), reverse=True))] = left
-
-    go(0, room, {})
-    return sorted((waste, filling) for filling, waste in found.items())
-
-
-def bin_completion(counts: dict[int, int], capacity: int, nodes: int = 400, effort: int = 2_000, branches: int = 3) -> list[tuple[Pattern, int]]:
-    """Patterns and how many sequences each fills.
+            if not left and not every:
+                break
+        stack.pop()
+        if path:
+            x = path.pop()
+            used[x] -= 1
+            if not used[x]:
+                del used[x]
+    whole = not stack
+    if not found:  # cut before the first end: the greedy one
+        left, greedy = room, {}
+        for x in map(int, lengths):
+            if n := min(counts[x], left // x):
+                greedy[x], left = n, left - n * x
+        found[tuple(greedy.items())] = left
+    return sorted((waste, filling) for filling, waste in found.items()), whole
+
+
+def solve(counts: dict[int, int], capacity: int, nodes: int = 400, effort: int = 2_000, branches: int = 3, exact_nodes: int = 2_000) -> tuple[list[tuple[Pattern, int]], int, bool]:
+    """Patterns and how many sequences each fills, a lower bound of the sequences, and whether no packing has fewer.
 
     Branch and bound: around the largest length left, each undominated filling
-    is a branch, used as often as its lengths last.  Best fit completes every
-    node as an incumbent; a branch ends where its waste is more than a better
-    packing can have.  The search stops at the lower bound or after ``nodes``;
-    it is never worse than best fit.
+    is a branch.  Best fit completes every node as an incumbent; a branch ends
+    where its waste is more than a better packing can have.  It stops where the
+    incumbent meets the lower bound.  At first the ``branches`` best fillings
+    are used as often as their lengths last (``nodes`` nodes); what gap is left
+    is searched one sequence at a time with every filling (``exact_nodes``
+    nodes).  The result is never worse than best fit, and is proven the least
+    if it meets the bound or that search came to its end.
     """
     counts = {int(x): int(n) for x, n in counts.items() if n}
     best = best_fit(counts, capacity)
     size = sum(n for _, n in best)
     least, total = _least_bins(counts, capacity), sum(x * n for x, n in counts.items())
-    stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
-    while stack and size > least and nodes:
-        nodes -= 1
-        left, done, bins, waste = stack.pop()
-        if waste > (size - 1) * capacity - total:
-            continue
-        if done:
-            rest = best_fit(left, capacity)
-            if bins + sum(n for _, n in rest) < size:
-                best, size = done + rest, bins + sum(n for _, n in rest)
-        if not left:
-            continue
-        top = max(left)
-        others = {**left, top: left[top] - 1}
-        for lost, filling in reversed(fillings(others, capacity - top, effort)[:branches]):
-            use = dict(filling)
-            use[top] = use.get(top, 0) + 1
-            times = min(left[x] // n for x, n in use.items())
-            after = {x: n - times * use.get(x, 0) for x, n in left.items() if n > times * use.get(x, 0)}
-            stack.append((after, [*done, (tuple(sorted(use.items(), reverse=True)), times)], bins + times, waste + lost * times))
-    return best
+    for every, budget in ((False, nodes), (True, exact_nodes)):
+        whole = every
+        seen: dict[tuple, int] = {}
+        stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
+        while stack and size > least:
+            if not budget:
+                whole = False
+                break
+            budget -= 1
+            left, done, bins, waste = stack.pop()
+            if waste > (size - 1) * capacity - total:
+                continue
+            if done:
+                rest = best_fit(left, capacity)
+                if bins + sum(n for _, n in rest) < size:
+                    best, size = done + rest, bins + sum(n for _, n in rest)
+            if not left or bins + _least_bins(left, capacity) >= size:
+                continue
+            top = max(left)
+            made, all_ = fillings({**left, top: left[top] - 1}, capacity - top, effort, every)
+            whole = whole and all_
+            for lost, filling in reversed(made if every else made[:branches]):
+                use = dict(filling)
+                use[top] = use.get(top, 0) + 1
+                times = 1 if every else min(left[x] // n for x, n in use.items())
+                after = {x: n - times * use.get(x, 0) for x, n in left.items() if n > times * use.get(x, 0)}
+                key = tuple(sorted(after.items()))
+                if seen.get(key, bins + times + 1) <= bins + times:  # the same pieces were left by as few sequences
+                    continue
+                seen[key] = bins + times
+                stack.append((after, [*done, (tuple(sorted(use.items(), reverse=True)), times)], bins + times, waste + lost * times))
+        if whole or size <= least:
+            return best, least, True
+    return best, least, False
+
+
+def bin_completion(counts: dict[int, int], capacity: int, **search) -> list[tuple[Pattern, int]]:
+    """The patterns of ``solve`` alone."""
+    return solve(counts, capacity, **search)[0]
 
 
 def _places(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
@@ -284,14 +320,16 @@ def _places(patterns: list[tuple[Pattern, int]]) -> dict[str, np.ndarray]:
 
 
 def pack(pieces: DataFrame, capacity: int, **search) -> DataFrame:
-    """``pieces`` and the columns ``sequence_id`` and ``offset``.
+    """``pieces`` and the columns ``sequence_id``, ``offset``, ``least_sequences``
+    (no packing has fewer) and ``proven`` (no packing has fewer than this one).
 
     Only the histogram of lengths (at most ``capacity`` counts) reaches the
     driver, and only its patterns the workers.  A length that very many pieces
     share is ranked part by part, so no task holds it whole.  An empty table
-    gives an empty table; columns with those two names are replaced.
+    gives an empty table; columns with those names are replaced, and columns
+    that begin with two underscores are not to be given.
     """
-    pieces = pieces.drop("sequence_id", "offset")
+    pieces = pieces.drop("sequence_id", "offset", "least_sequences", "proven")
     names = pieces.columns
     kept = materialise(pieces.withColumn("__part", F.spark_partition_id()).withColumn("__at", F.monotonically_increasing_id()), "pieces")
     spread = kept.groupBy("length", "__part").agg(F.count("*").alias("__n"))
@@ -300,7 +338,8 @@ def pack(pieces: DataFrame, capacity: int, **search) -> DataFrame:
     counts = {r["length"]: r["n"] for r in spread.groupBy("length").agg(F.sum("__n").alias("n")).collect()}
     if counts and not 1 <= min(counts) <= max(counts) <= capacity:
         raise ValueError(f"lengths must be 1 to {capacity}")
-    place = _places(bin_completion(counts, capacity, **search))
+    patterns, least, proven = solve(counts, capacity, **search)
+    place = _places(patterns)
     held = pieces.sparkSession.sparkContext.broadcast(place)
 
     @F.pandas_udf("sequence_id long, offset long")
@@ -313,7 +352,7 @@ def pack(pieces: DataFrame, capacity: int, **search) -> DataFrame:
 
     own = F.row_number().over(Window.partitionBy("length", "__part").orderBy("__at")) - 1
     ranked = kept.join(spread.select("length", "__part", "__before"), ["length", "__part"]).withColumn("__rank", F.col("__before") + own)
-    return ranked.withColumn("__put", put("length", "__rank")).select(*names, "__put.sequence_id", "__put.offset")
+    return ranked.withColumn("__put", put("length", "__rank")).select(*names, "__put.sequence_id", "__put.offset", F.lit(least).cast("long").alias("least_sequences"), F.lit(proven).alias("proven"))
 
 
 def sequences(packed: DataFrame) -> DataFrame:

@@ -111,6 +111,46 @@ def test_bin_completion_is_optimal_on_small_cases():
     assert packing.bin_completion({}, 20) == []
 
 
+def test_completion_beats_best_fit_and_says_what_is_proven():
+    rng = np.random.default_rng(7)
+    items = []
+    for _ in range(30):  # triplets that fill a bin each: best fit needs a sixth more
+        a = int(rng.integers(380, 490))
+        b = int(rng.integers(250, (1000 - a) // 2 + 1))
+        items += [a, b, 1000 - a - b]
+    made, least, proven = packing.solve(Counter(items), 1000)
+    size, plain = sum(n for _, n in made), sum(n for _, n in packing.best_fit(Counter(items), 1000))
+    assert least == 30 and size <= 31 < plain and proven == (size == 30)
+    assert packing.solve({7: 3}, 10) == ([(((7, 1),), 3)], 3, True)
+    made, least, proven = packing.solve(Counter([6, 5, 5, 4, 4, 4, 3]), 10, nodes=0, exact_nodes=0)
+    assert proven == (sum(n for _, n in made) == least)
+
+
+def test_fillings_of_many_equal_pieces():
+    (waste, filling), *_ = packing.fillings({1: 3000}, 2047, 5000)[0]
+    assert (waste, filling) == (0, ((1, 2047),))
+    assert packing.fillings({1: 3000}, 2047, 100) == ([(0, ((1, 2047),))], False)  # cut: the greedy one
+
+
+def test_op1_needs_as_few_sequences_as_proven(spark, docs):
+    got = registry.queries()["op1_best_fit_packing"](spark, DATA).toPandas()
+    room: list[int] = []
+    for n in sorted(got.length, reverse=True):  # plain best fit over single pieces
+        fits = [i for i, r in enumerate(room) if r >= n]
+        if fits:
+            room[min(fits, key=lambda i: room[i])] -= n
+        else:
+            room.append(2048 - n)
+    assert -(-got.length.sum() // 2048) <= got.least_sequences.iloc[0] <= got.sequence_id.nunique() <= len(room)
+    assert got.proven.all() == (got.sequence_id.nunique() == got.least_sequences.iloc[0])
+
+
+def test_packing_keeps_large_ids_beside_null_ones(spark):
+    df = spark.createDataFrame([(9007199254740993, "a"), (None, "b"), (9007199254740993, "a")], "doc_id long, text string")
+    got = [r["doc_id"] for r in packing.pack_documents(df).collect()]
+    assert sorted(got, key=str) == [9007199254740993, 9007199254740993, None]
+
+
 def test_packing_handles_odd_rows(spark):
     df = spark.createDataFrame(ODD, DOCS)
     got = packing.pack_documents(df).toPandas()
