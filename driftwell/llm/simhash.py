@@ -27,10 +27,6 @@ FRONTIER = 16_384
 GROUP_LIMIT = 50_000
 #: Rows that a task gathers before it searches.
 BATCH = 200_000
-#: Pairs of rows that one step of the exact links compares by size and place.
-PAIRS = 1_000_000
-#: Texts whose common shingles are counted, and shingles that are told to workers.
-HOT_SAMPLE, HOT_LIMIT = 20_000, 50_000
 _BIT = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(np.int64)
 
 
@@ -70,6 +66,11 @@ def _shingles(words: list[bytes], size: int) -> np.ndarray:
     return whole
 
 
+def _lanes(whole: np.ndarray, lanes: int) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return np.stack([_mix(whole + np.uint64((lane + 1) * 0x9E3779B97F4A7C15 % 2**64)) for lane in range(lanes)], axis=1)
+
+
 def shingle_set(text: str | None, shingle: int) -> np.ndarray:
     """The sorted distinct shingle hashes of a text; one that is shorter is a single shingle."""
     words = _words(text)
@@ -100,12 +101,21 @@ def fingerprint(text: str | None, shingle: int, bits: int) -> str:
             parts.append(np.fromiter(map(xxhash.xxh64_intdigest, cut, repeat(42)), dtype="<u8", count=upto - at))
         hashes = np.concatenate(parts)[:, None]
     else:
-        whole = _shingles(words, size)
-        with np.errstate(over="ignore"):
-            hashes = np.stack([_mix(whole + np.uint64((lane + 1) * 0x9E3779B97F4A7C15 % 2**64)) for lane in range(lanes)], axis=1)
+        hashes = _lanes(_shingles(words, size), lanes)
     return "".join(f"{int(w):016x}" for w in _majority(hashes)[::-1])
 
 
+def sketch(text: str | None, shingle: int, bits: int) -> tuple[bytes, np.ndarray]:
+    """A text's fingerprint from the words' values, as in ``fingerprint``, and its ``shingle_set``, hashed once."""
+    words = _words(text)
+    if not words:
+        return bytes(bits // 8), np.zeros(0, dtype="<u8")
+    size = min(shingle, len(words))
+    whole = _shingles(words, size)
+    code = _majority(_lanes(whole, bits // 64))
+    return code[::-1].astype(">u8").tobytes(), np.unique(whole + np.uint64(0 if size == shingle else size))
+
+
 def with_fingerprint(df: DataFrame, text_col: str, name: str, shingle: int = 5, bits: int = 64) -> DataFrame:
     """``df`` and its rows' fingerprints in a new column ``name``."""
 
@@ -190,9 +200,25 @@ class GrayIndex:
             self.starts.append(self.starts[-1][member])
             first, sizes = np.cumsum(nodes) - nodes, nodes
 
-    def components(self, max_diff: int) -> np.ndarray:
-        """For each code the first one that links of ``max_diff`` or fewer differences reach."""
+    def nearest(self, max_diff: int) -> np.ndarray:
+        """For each code the nearest other one that the search met within ``max_diff`` differences, else -1.
+
+        Close ones are looked for first, and nodes that links have joined already
+        are not compared again, so of a dense group each code meets a few."""
+        near = np.full(len(self.codes), np.iinfo(np.int64).max)
         label = np.arange(len(self.codes))
+        for limit in (max_diff // 2, max_diff):
+            self.components(limit, label, near)
+        return np.where(near == np.iinfo(np.int64).max, -1, near & ((1 << 40) - 1))
+
+    def _meet(self, near: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+        far = _count(self.codes[a] ^ self.codes[b]).astype(np.int64) << 40
+        np.minimum.at(near, a, far | b)
+        np.minimum.at(near, b, far | a)
+
+    def components(self, max_diff: int, label: np.ndarray | None = None, near: np.ndarray | None = None) -> np.ndarray:
+        """For each code the first one that links of ``max_diff`` or fewer differences reach."""
+        label = np.arange(len(self.codes)) if label is None else label
         top = len(self.below)
         roots = np.arange(len(self.both[top]))
         stack = [(top, roots, roots)]
@@ -206,7 +232,12 @@ class GrayIndex:
             keep = _count(apart) <= max_diff
             if level == 0:
                 keep &= a != b
-                _unite(label, a[keep], b[keep])
+                a, b = a[keep], b[keep]
+                if near is not None:
+                    new = label[a] != label[b]
+                    a, b = a[new], b[new]
+                    self._meet(near, a, b)
+                _unite(label, a, b)
                 continue
             low = np.minimum.reduceat(label, self.starts[level])
             high = np.maximum.reduceat(label, self.starts[level])
@@ -218,6 +249,9 @@ class GrayIndex:
                 for x, y in zip(a[close], b[close]):
                     ends = [np.arange(self.starts[level][n], self.starts[level][n + 1] if n + 1 < len(both) else len(label)) for n in (x, y)]
                     every = np.concatenate(ends)
+                    if near is not None:
+                        other = every[every != every[0]]
+                        self._meet(near, other, np.full(len(other), every[0]))
                     _unite(label, every, np.full(len(every), every[0]))
                 a, b = a[~close], b[~close]
             if not len(a):
@@ -242,7 +276,7 @@ def _codes(raw: pd.Series, bits: int) -> np.ndarray:
     return np.frombuffer(b"".join(raw), dtype=">u8").reshape(len(raw), bits // 64).astype(np.uint64)
 
 
-def _search(bits: int, max_diff: int):
+def _search(bits: int, max_diff: int, nearest: bool):
     def links(held: pd.DataFrame) -> pd.DataFrame:
         keys = pd.factorize(pd.MultiIndex.from_frame(held[["slot", "part"]]))[0]
         many = np.bincount(keys)[keys] > 1
@@ -252,9 +286,10 @@ def _search(bits: int, max_diff: int):
         codes = _codes(held, bits)
         rank = gray_rank(codes)
         order = np.lexsort([*rank.T[::-1], keys])
-        label = GrayIndex(codes[order], keys[order]).components(max_diff)
-        far = np.flatnonzero(label != np.arange(len(label)))
-        return pd.DataFrame({"u": [x.hex() for x in held[order[far]]], "v": [x.hex() for x in held[order[label[far]]]]}, dtype=object).drop_duplicates()
+        index = GrayIndex(codes[order], keys[order])
+        other = index.nearest(max_diff) if nearest else index.components(max_diff)
+        far = np.flatnonzero((other >= 0) & (other != np.arange(len(other))))
+        return pd.DataFrame({"u": held[order[far]], "v": held[order[other[far]]]}, dtype=object).drop_duplicates()
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: list[pd.DataFrame] = []
@@ -277,12 +312,14 @@ def _search(bits: int, max_diff: int):
     return run
 
 
-def linked(codes: DataFrame, bits: int, max_diff: int, views: list[list[int]]) -> DataFrame:
-    """Distinct ``codes`` (fingerprint) to edges (u, v) that span each component of
-    codes at ``max_diff`` or fewer differences sharing a view.
+def linked(codes: DataFrame, bits: int, max_diff: int, views: list[list[int]], nearest: bool = False) -> DataFrame:
+    """Edges (u, v) between distinct ``codes`` (code, binary) at ``max_diff`` or fewer differences that share a view.
 
-    A slot (a view's key) with over ``GROUP_LIMIT`` codes is cut into blocks, and each
-    pair of blocks is searched by a task of its own.
+    They span each component of such links; if ``nearest``, each code has one to
+    the nearest code that the search meets instead.  A slot (a view's key) with
+    over ``GROUP_LIMIT`` codes is cut into blocks, and each pair of blocks is
+    searched by a task of its own; which slots those are is read off a sample of
+    the codes, and changes no link.
     """
     spark = codes.sparkSession
 
@@ -294,46 +331,36 @@ def linked(codes: DataFrame, bits: int, max_diff: int, views: list[list[int]]) -
         return pd.Series(list(np.stack(each, axis=1)) if len(raw) else [], dtype=object)
 
     # a code is spread to every view, so its row is kept small: the bytes and one number
-    spread = materialise(codes.select(F.unhex("fingerprint").alias("code")).select("code", F.explode(keyed("code")).alias("slot")), "views")
-    hot = materialise(spread.groupBy("slot").count().where(F.col("count") > GROUP_LIMIT).select("slot", F.ceil(F.col("count") / GROUP_LIMIT).cast("long").alias("blocks")), "hot")
-    if hot.isEmpty():
-        dealt = spread.withColumn("part", F.lit(0).cast("long"))
-    else:
-        dealt = (
-            spread.join(hot, "slot", "left")
-            .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
-            .withColumn("own", F.pmod(F.xxhash64("code"), F.col("blocks")))
-            .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
-            .select("code", "slot", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("part"))
-        )
+    spread = codes.select("code", F.explode(keyed("code")).alias("slot"))
+    dealt, hot = spread.withColumn("part", F.lit(0).cast("long")), None
+    if (n := codes.count()) > GROUP_LIMIT:
+        one_in = min(50, n // GROUP_LIMIT)
+        some = codes.where(F.pmod(F.xxhash64("code"), F.lit(one_in)) == 0).select(F.explode(keyed("code")).alias("slot"))
+        many = some.groupBy("slot").count().where(F.col("count") * one_in > GROUP_LIMIT)
+        hot = materialise(many.select("slot", F.ceil(F.col("count") * one_in / GROUP_LIMIT).cast("long").alias("blocks")), "hot")
+        if not hot.isEmpty():
+            dealt = (
+                spread.join(hot, "slot", "left")
+                .withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+                .withColumn("own", F.pmod(F.xxhash64("code"), F.col("blocks")))
+                .withColumn("other", F.explode(F.expr("sequence(0L, blocks - 1)")))
+                .select("code", "slot", (F.least("own", "other") * F.col("blocks") + F.greatest("own", "other")).alias("part"))
+            )
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
     together = dealt.repartition(tasks, "slot", "part").sortWithinPartitions("slot", "part")
-    found = materialise(together.mapInPandas(_search(bits, max_diff), "u string, v string"), "links")
-    discard(spread)
-    discard(hot)
+    found = materialise(together.mapInPandas(_search(bits, max_diff, nearest), "u binary, v binary"), "links")
+    if hot is not None:
+        discard(hot)
     return found
 
 
-def _grouped(rows: DataFrame, bits: int, max_diff: int, views: list[list[int]] | None) -> DataFrame:
-    """``rows``, written and with a ``fingerprint``, and their ``group_fingerprint``."""
-    if views is None:
-        views = exact_views(bits, max_diff) if max_diff < 4 else sampled_views(bits, 16, 40)
-    codes = materialise(rows.select("fingerprint").distinct(), "codes")
-    edges = linked(codes, bits, max_diff, views)
-    groups = materialise(components(edges).select(F.col("node").alias("fingerprint"), F.col("component").alias("group_fingerprint")), "groups")
-    discard(codes)
-    discard(edges)
-    return rows.join(groups, "fingerprint", "left").withColumn("group_fingerprint", F.coalesce("group_fingerprint", "fingerprint"))
-
-
-def near_duplicates(df: DataFrame, text_col: str = "text", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None) -> DataFrame:
+def near_duplicates(df: DataFrame, text_col: str = "text", shingle: int = 5, bits: int = 64, max_diff: int = 3, views: list[list[int]] | None = None) -> DataFrame:
     """``df`` and two columns: ``fingerprint`` and ``group_fingerprint``, the least
     fingerprint of its component.
 
-    By default a pair of texts links at 39 of 256 differing bits, the expected
-    number at a Jaccard similarity of 0.8 of their five-word shingle sets.  For a
-    few differences ``exact_views`` finds every link; else the default views are
-    sampled (40 of 16 bits: a link of 39 differences is met with probability 0.95, of 30 with 0.997).
+    A pair of texts links at ``max_diff`` or fewer differing bits.  The default
+    views are exact: they find every link, whatever ``max_diff`` is, and take the
+    longer the larger it is.  Views of ``sampled_views`` may miss links.
 
     Null and empty texts have the fingerprint zero, so they form one group.
     Repeated rows each keep their own row.  An empty table gives an empty table.
@@ -341,188 +368,33 @@ def near_duplicates(df: DataFrame, text_col: str = "text", shingle: int = 5, bit
     """
     kept = df.drop("fingerprint", "group_fingerprint")
     rows = materialise(with_fingerprint(kept, text_col, "fingerprint", shingle, bits), "fingerprints")
-    return _grouped(rows, bits, max_diff, views)
+    groups = _groups(rows, bits, max_diff, views)
+    return rows.join(groups, "fingerprint", "left").withColumn("group_fingerprint", F.coalesce("group_fingerprint", "fingerprint"))
+
+
+def _groups(rows: DataFrame, bits: int, max_diff: int, views: list[list[int]] | None) -> DataFrame:
+    """(fingerprint, group_fingerprint) of the fingerprints of ``rows`` that have a link."""
+    codes = materialise(rows.select(F.unhex("fingerprint").alias("code")).distinct(), "codes")
+    edges = linked(codes, bits, max_diff, exact_views(bits, max_diff) if views is None else views)
+    groups = components(edges).select(F.lower(F.hex("node")).alias("fingerprint"), F.lower(F.hex("component")).alias("group_fingerprint"))
+    groups = materialise(groups, "groups")
+    discard(codes)
+    discard(edges)
+    return groups
 
 
 def op9_simhash_gray(spark, sf_dir: str) -> DataFrame:
     """The contract's fingerprints, and the least doc_id each document reaches by
     links of two or fewer bits.  A null doc_id keeps its row; a group of nulls
-    only has a null component."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    rows = near_duplicates(docs, shingle=3, bits=64, max_diff=2).select("doc_id", "fingerprint", "group_fingerprint")
-    rows = materialise(rows, "grouped")
-    least = rows.groupBy("group_fingerprint").agg(F.min("doc_id").alias("component_id"))
-    return rows.join(least, "group_fingerprint").select("doc_id", "fingerprint", "component_id")
-
-
-# ----------------------------------------------------------------- exact links
-
-
-def _sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """``texts`` (row, text, ...) and a ``digest`` of each text's shingle set."""
-
-    @F.pandas_udf("binary")
-    def digest(texts: pd.Series) -> pd.Series:
-        return pd.Series([xxhash.xxh3_128_digest(shingle_set(t, shingle).tobytes()) for t in texts], dtype=object)
-
-    return texts.withColumn("digest", digest("text"))
-
+    only has a null component.
 
-def _verified(pairs: DataFrame, texts: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Those of ``pairs`` (u, v) whose shingle sets have a Jaccard similarity of ``least`` or more."""
-
-    @F.pandas_udf("boolean")
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        out, last, x = [], None, None
-        for s, t in zip(a, b):
-            if x is None or s != last:
-                last, x = s, shingle_set(s, shingle)
-            y = shingle_set(t, shingle)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-        return pd.Series(out, dtype=bool)
-
-    left = texts.select(F.col("row").alias("u"), F.col("text").alias("a"))
-    right = texts.select(F.col("row").alias("v"), F.col("text").alias("b"))
-    return materialise(pairs.join(left, "u").join(right, "v").where(near("a", "b")).select("u", "v"), "verified")
-
-
-def _hot(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several of some 20,000 texts hold, and how many do.  They only put
-    shingles in order, common ones last: links are the same whatever is counted."""
-    share = min(1.0, HOT_SAMPLE / max(1, texts.count()))
-    some = texts.where(F.pmod(F.xxhash64("row"), F.lit(1 << 20)) < F.lit(int(share * (1 << 20))))
-
-    def each(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for text in frame["text"]:
-                yield pd.DataFrame({"token": shingle_set(text, shingle).view("<i8")})
-
-    held = some.select("text").mapInPandas(each, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
-    top = held.orderBy(F.desc("n"), "token").limit(HOT_LIMIT).collect()
-    token = np.array([r["token"] for r in top], dtype="<i8").view("<u8")
-    order = np.argsort(token)
-    return token[order], np.array([r["n"] for r in top], dtype=np.int64)[order]
-
-
-def prefix(tokens: np.ndarray, hot: tuple[np.ndarray, np.ndarray], least: float) -> np.ndarray:
-    """The rarest of a sorted set's tokens, so many that two sets of similarity ``least`` share one."""
-    known, counts = hot
-    n = np.zeros(len(tokens), dtype=np.int64)
-    if len(known):
-        at = np.minimum(np.searchsorted(known, tokens), len(known) - 1)
-        n = np.where(known[at] == tokens, counts[at], 0)
-    return tokens[np.lexsort((tokens, n))[: len(tokens) - int(np.ceil(least * len(tokens) - 1e-9)) + 1]]
-
-
-def _meetings(least: float):
-    """Pairs of rows of different components that share a token and may reach ``least``."""
-
-    def pairs(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        held = held.sort_values(["token", "size"], kind="stable")
-        token, own, size, at, comp = (held[c].to_numpy() for c in ("token", "row", "size", "at", "comp"))
-        run = np.cumsum(np.r_[True, token[1:] != token[:-1]]) - 1
-        first = np.flatnonzero(np.r_[True, token[1:] != token[:-1]])
-        mixed = (np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first))[run]
-        own, size, at, comp, run = own[mixed], size[mixed].astype(np.int64), at[mixed], comp[mixed], run[mixed].astype(np.int64)
-        upto = np.searchsorted((run << 32) + size, (run << 32) + np.floor(size / least + 1e-9).astype(np.int64), side="right")
-        more = upto - np.arange(len(own)) - 1  # the others of its run that aren't too large
-        ends = np.cumsum(more)
-        begin = 0
-        while begin < len(own):
-            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
-            n = more[begin:stop]
-            a = np.repeat(np.arange(begin, stop), n)
-            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(n) - n, n)
-            need = np.ceil(least / (1 + least) * (size[a] + size[b]) - 1e-9)
-            keep = (comp[a] != comp[b]) & (1 + np.minimum(size[a] - at[a], size[b] - at[b]) - 1 >= need)
-            a, b = own[a[keep]], own[b[keep]]
-            if len(a):
-                yield pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)}).drop_duplicates()
-            begin = stop
-
-    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        held, rows = [], 0
-        for frame in frames:
-            held.append(frame)
-            rows += len(frame)
-            if rows < BATCH:
-                continue
-            whole = pd.concat(held, ignore_index=True)
-            open_ = (whole["token"] == whole["token"].iloc[-1]).to_numpy()
-            if not open_.all():
-                yield from pairs(whole[~open_])
-            held = [whole[open_]]
-            rows = len(held[0])
-        if rows:
-            yield from pairs(pd.concat(held, ignore_index=True))
-
-    return run
-
-
-def similar(texts: DataFrame, joined: DataFrame, shingle: int, least: float) -> DataFrame:
-    """Pairs (u, v) of ``texts`` (row, text, tried; different shingle sets) with a Jaccard similarity
-    of ``least`` or more that link different components of ``joined`` (node, component).
-    Only rows with ``tried`` may be nodes of it: the others' texts needn't meet it.
-
-    Exact: sets that similar share one of their rarest tokens (prefix filter), and
-    each pair that does and passes the length and positional filters is compared whole.
-    """
-    hot = texts.sparkSession.sparkContext.broadcast(_hot(texts, shingle))
-
-    def tokens(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for own, comp, text in zip(frame["row"], frame["comp"], frame["text"]):
-                whole = shingle_set(text, shingle)
-                if not len(whole):
-                    continue
-                rare = prefix(whole, hot.value, least)
-                yield pd.DataFrame({"token": rare.view("<i8"), "row": own, "comp": comp, "size": len(whole), "at": np.arange(len(rare))})
-
-    alone = texts.where(~F.col("tried")).select("row", F.col("row").alias("comp"), "text")
-    tried = texts.where("tried").join(joined.select(F.col("node").alias("row"), F.col("component").alias("comp")), "row", "left")
-    rows = alone.unionByName(tried.select("row", F.coalesce("comp", "row").alias("comp"), "text")).mapInPandas(tokens, "token long, row long, comp long, size int, at int")
-    tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    together = rows.repartition(tasks, "token").sortWithinPartitions("token")
-    met = materialise(together.mapInPandas(_meetings(least), "u long, v long").distinct(), "met")
-    some = met.select(F.col("u").alias("row")).unionByName(met.select(F.col("v").alias("row"))).distinct()
-    some = materialise(texts.select("row", "text").join(some, "row", "left_semi"), "met-texts")
-    found = _verified(met, some, shingle, least)
-    discard(met)
-    discard(some)
-    return found
-
-
-def keep_one(spark, docs: DataFrame, text_col: str = "text", id_col: str = "doc_id", shingle: int = 5, bits: int = 256, max_diff: int = 39, views: list[list[int]] | None = None, least: float = 0.8) -> DataFrame:
-    """One document of each near-duplicate group: the least id, of equal ones any one.
-    Columns stay as they are, whatever their names.
-
-    Groups are the components of all pairs with a Jaccard similarity of
-    ``least`` or more of their shingle sets.  SimHash links are candidates, each
-    compared whole; what they miss, ``similar`` finds between their components.
-    """
-    names = docs.columns
-    inner = docs.select(F.struct(*names).alias("__doc"), F.monotonically_increasing_id().alias("__row"))
-    rows = materialise(with_fingerprint(inner, f"__doc.{text_col}", "fingerprint", shingle, bits), "fingerprints")
-    own = _sets(rows.select(F.col("__row").alias("row"), F.col(f"__doc.{text_col}").alias("text"), "fingerprint", F.col(f"__doc.{id_col}").alias("key")), shingle)
-    slim = materialise(own.select("row", "key", "fingerprint", "digest"), "digests")
-    sole = materialise(slim.groupBy("digest").agg(F.min("row").alias("row"), F.min("fingerprint").alias("fingerprint")), "sets")
-    if views is None:
-        views = exact_views(bits, max_diff) if max_diff < 4 else sampled_views(bits, 16, 40)
-    heads = materialise(sole.groupBy("fingerprint").agg(F.min("row").alias("head")), "codes")
-    edges = linked(heads.select("fingerprint"), bits, max_diff, views)
-    head = lambda c: heads.select(F.col("fingerprint").alias(c), F.col("head").alias(f"{c}_row"))
-    pairs = edges.join(head("u"), "u").join(head("v"), "v").select(F.col("u_row").alias("u"), F.col("v_row").alias("v"))
-    pairs = pairs.unionByName(sole.join(heads, "fingerprint").where("row <> head").select(F.col("head").alias("u"), F.col("row").alias("v")))
-    pairs = materialise(pairs.distinct(), "tried")
-    tried = pairs.select(F.col("u").alias("row")).unionByName(pairs.select(F.col("v").alias("row"))).distinct().withColumn("tried", F.lit(True))
-    flags = materialise(sole.select("row").join(tried, "row", "left").select("row", F.coalesce("tried", F.lit(False)).alias("tried")), "flags")
-    texts = materialise(rows.select(F.col("__row").alias("row"), F.col(f"__doc.{text_col}").alias("text")).join(flags, "row"), "texts")
-    links = _verified(pairs, texts.where("tried"), shingle, least)
-    joined = materialise(components(links), "joined")
-    links = links.unionByName(similar(texts, joined, shingle, least))
-    groups = materialise(components(links).select(F.col("node").alias("row"), "component"), "groups")
-    discard(texts)
-    of = sole.join(groups, "row", "left").select("digest", F.coalesce("component", "row").alias("group"))
-    best = slim.join(of, "digest").groupBy("group").agg(F.min(F.struct(F.col("key").isNull(), "key", "row")).alias("best"))
-    return rows.join(best.select(F.col("best.row").alias("__row")), "__row", "left_semi").select("__doc.*")
+    Ids meet a fingerprint at a time, combined before the shuffle, and groups
+    have a row for each fingerprint, so many copies are no hot group."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    rows = materialise(with_fingerprint(docs, "text", "fingerprint", 3, 64).select("doc_id", "fingerprint"), "fingerprints")
+    own = rows.groupBy("fingerprint").agg(F.min("doc_id").alias("least"))
+    group = F.coalesce("group_fingerprint", "fingerprint")
+    own = materialise(own.join(_groups(rows, 64, 2, None), "fingerprint", "left").select("fingerprint", "least", group.alias("group_fingerprint")), "groups")
+    least = own.groupBy("group_fingerprint").agg(F.min("least").alias("component_id"))
+    of = materialise(own.join(least, "group_fingerprint").select("fingerprint", "component_id"), "least")
+    return rows.join(of, "fingerprint").select("doc_id", "fingerprint", "component_id")

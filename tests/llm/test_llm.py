@@ -14,7 +14,7 @@ from conftest import DATA, same
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from driftwell.llm import block_topk, licences, line_dedup, mixing, packing, permutation_index, ppm, registry, simhash, toxicity, warc
+from driftwell.llm import block_topk, licences, line_dedup, mixing, near_links, packing, permutation_index, ppm, registry, simhash, toxicity, warc
 from driftwell.llm.components import components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long, score double, fingerprint string"
@@ -321,10 +321,10 @@ def test_gray_rank_orders_the_gray_sequence():
 
 def test_hot_groups_are_cut_into_blocks(spark, monkeypatch):
     monkeypatch.setattr(simhash, "GROUP_LIMIT", 5)
-    codes = [f"{x:016x}" for x in range(40)]
-    edges = simhash.linked(spark.createDataFrame([(c,) for c in codes], "fingerprint string"), 64, 2, simhash.exact_views(64, 2))
-    got = {r["node"]: r["component"] for r in components(edges).collect()}
-    assert set(got) == set(codes) and set(got.values()) == {codes[0]}
+    codes = [bytearray(x.to_bytes(8)) for x in range(40)]
+    edges = simhash.linked(spark.createDataFrame([(c,) for c in codes], "code binary"), 64, 2, simhash.exact_views(64, 2))
+    got = {bytes(r["node"]): bytes(r["component"]) for r in components(edges).collect()}
+    assert set(got) == set(map(bytes, codes)) and set(got.values()) == {bytes(codes[0])}
 
 
 def test_components_follow_long_chains(spark):
@@ -338,12 +338,12 @@ def test_near_dedup_keeps_one_of_each_group(spark):
     texts = [" ".join(f"w{x}" for x in rng.integers(0, 9999, 300)) for _ in range(30)]
     copies = [" ".join([*t.split()[:150], "changed", *t.split()[151:]]) for t in texts[:10]]
     rows = [(i, t, "en", "s", 1, 0.0, "clash") for i, t in enumerate([*texts, *copies, *texts[:5]])]
-    got = simhash.keep_one(spark, spark.createDataFrame(rows, DOCS))
+    got = near_links.keep_one(spark, spark.createDataFrame(rows, DOCS))
     assert got.columns == [f.split()[0] for f in DOCS.split(", ")]
     assert sorted(r["doc_id"] for r in got.collect()) == list(range(30))
-    odd = simhash.keep_one(spark, spark.createDataFrame(ODD, DOCS)).collect()
+    odd = near_links.keep_one(spark, spark.createDataFrame(ODD, DOCS)).collect()
     assert sorted((r["doc_id"] or 0) for r in odd) == [1, 2, 3, 4]
-    assert simhash.keep_one(spark, spark.createDataFrame([], DOCS)).count() == 0
+    assert near_links.keep_one(spark, spark.createDataFrame([], DOCS)).count() == 0
 
 
 # -------------------------------------------------- lines, mixing and licences
@@ -466,5 +466,5 @@ def test_keep_one_equals_exact_jaccard(spark):
     for i, j in sorted(near):
         label = [label[i] if x == label[j] else x for x in label]
     rows = [(i, t, "en", "s", 1, 0.0, "f") for i, t in enumerate(texts)]
-    got = simhash.keep_one(spark, spark.createDataFrame(rows, DOCS))
+    got = near_links.keep_one(spark, spark.createDataFrame(rows, DOCS))
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(label))
