@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from driftwell.llm.line_dedup import clean_lines
 from driftwell.llm.mixing import mix_documents
 from driftwell.llm.packing import pack_documents
-from driftwell.llm.simhash import keep_one
+from driftwell.llm.near_links import keep_one
 from driftwell.llm.store import materialise
 from driftwell.llm.toxicity import drop_toxic
 
