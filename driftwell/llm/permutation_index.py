@@ -8,85 +8,74 @@ distance of the orders, and reranks the best share by exact distance.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from driftwell.llm import vectors
 
 
-class PermutationShard:
-    """Distinct vectors of a shard in pivot inverted files."""
+class PermutationFiles:
+    """Inverted files of the pivots: which vectors' orders hold one, and how near its beginning."""
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, pivots: np.ndarray, prefix: int):
-        order = np.argsort(ids, kind="stable")
-        ids, rows = ids[order], rows[order]
-        self.rows, owner = np.unique(rows, axis=0, return_inverse=True)
-        by = np.argsort(owner, kind="stable")  # the ids of each distinct vector, ascending
-        self.ids, self.starts = ids[by], np.searchsorted(owner[by], np.arange(len(self.rows) + 1))
-        self.pivots, self.prefix = pivots, min(prefix, len(pivots))
-        order = self.nearest(self.rows)
-        flat = order.ravel()
+    def __init__(self, order: np.ndarray, pivots: int):
+        self.size, self.prefix = order.shape
+        flat = order.ravel().astype(np.int64)
         by = np.argsort(flat, kind="stable")
-        self.lists = np.searchsorted(flat[by], np.arange(len(pivots) + 1))
+        self.lists = np.searchsorted(flat[by], np.arange(pivots + 1))
         self.member = by // self.prefix
         self.left = self.prefix - by % self.prefix  # prefix length less the pivot's place
 
-    def nearest(self, rows: np.ndarray) -> np.ndarray:
-        far = (rows**2).sum(1)[:, None] - 2 * rows @ self.pivots.T + (self.pivots**2).sum(1)
-        return np.argsort(far, axis=1, kind="stable")[:, : self.prefix]
-
     def candidates(self, order: np.ndarray, share: float, least: int) -> np.ndarray:
-        """The share of distinct vectors whose orders have the smallest footrule distances.
+        """The share of the vectors whose orders have the smallest footrule distances.
 
         With l places and pivots missing from an order at place l, the distance
         is a constant less twice the sum of min(l - a, l - b) over the pivots that
         both orders hold, so the query's own inverted files suffice.
         """
-        at = np.concatenate([np.arange(self.lists[p], self.lists[p + 1]) for p in order])
-        mine = np.repeat(self.prefix - np.arange(self.prefix), self.lists[order + 1] - self.lists[order])
-        near = np.bincount(self.member[at], weights=np.minimum(mine, self.left[at]), minlength=len(self.rows))
-        take = min(len(self.rows), max(least, int(np.ceil(share * len(self.rows)))))
-        key = -near * len(self.rows) + np.arange(len(self.rows))
+        n = self.lists[order + 1] - self.lists[order]
+        at = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n) + np.repeat(self.lists[order], n)
+        mine = np.repeat(self.prefix - np.arange(self.prefix), n)
+        near = np.bincount(self.member[at], weights=np.minimum(mine, self.left[at]), minlength=self.size)
+        take = min(self.size, max(least, int(np.ceil(share * self.size))))
+        key = -near * self.size + np.arange(self.size)
         return np.argpartition(key, take - 1)[:take]
 
-    def search(self, query_id: int, query: np.ndarray, order: np.ndarray, k: int, share: float) -> tuple[np.ndarray, np.ndarray]:
-        found = self.candidates(order, share, 8 * k)
-        far = np.sqrt(((self.rows[found] - query) ** 2).sum(1))
-        near = np.argsort(far, kind="stable")
-        keep = near[far[near] <= far[near[min(k, len(near) - 1)]]]  # one more than k: the query may be among them
-        ids = [self.ids[self.starts[d] : min(self.starts[d] + k + 1, self.starts[d + 1])] for d in found[keep]]
-        out, dist = np.concatenate(ids), np.repeat(far[keep], [len(x) for x in ids])
-        other = out != query_id
-        out, dist = out[other], dist[other]
-        first = np.lexsort((out, dist))[:k]
-        return out[first], dist[first]
-
 
-def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = 10, pivots: int = 256, prefix: int = 64, share: float = 0.12, seed: int = 5) -> DataFrame:
+def nearest(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", every: int = 100, k: int = 10, pivots: int = 2048, prefix: int = 128, share: float = 0.06, seed: int = 5) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each query by Euclidean distance.
 
-    Queries are the ids divisible by ``every``.  The pivots are a seeded sample
-    of ``pivots`` vectors (the only thing fitted, so a bounded one); every usable
-    vector is indexed.  ``share`` is the share of a shard that is reranked;
-    copies of a vector count once there.  See ``vectors.usable`` for what takes
-    no part.  Ties go to the smaller id; no usable vector gives no row.
+    Queries are the rows whose id is divisible by ``every``; a row is no
+    candidate of its own, but one that repeats it is.  The pivots are a seeded
+    sample of ``pivots`` vectors (the only thing fitted, so a bounded one);
+    every usable vector is indexed.  ``share`` is the share of a shard's
+    distinct vectors that is reranked, 8 * ``k`` at least; copies of a vector
+    count once there.  See ``vectors.usable`` for what takes no part.  Ties go
+    to the smaller id; no usable vector gives no row, other columns are ignored.
     """
     rows = vectors.usable(df, id_col, vector_col, zero=False)
-    sample = rows.orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(pivots).select("v").collect()
-    centres = np.unique(np.array([r["v"] for r in sample], dtype=np.float64), axis=0) if sample else np.zeros((1, 1))
-    data, asked = vectors.dealt(rows, every)
-
-    def search(key, mine: pd.DataFrame, theirs: pd.DataFrame) -> pd.DataFrame:
-        if not len(mine) or not len(theirs):
-            return pd.DataFrame({"query_id": [], "vec_id": [], "score": []})
-        shard = PermutationShard(mine["vec_id"].to_numpy(), vectors.matrix(mine["v"]), centres, prefix)
-        queries = vectors.matrix(theirs["q"])
-        out = [(q, *shard.search(q, v, order, k, share)) for q, v, order in zip(theirs["query_id"], queries, shard.nearest(queries))]
-        return pd.DataFrame({"query_id": np.repeat([q for q, _, _ in out], [len(i) for _, i, _ in out]), "vec_id": np.concatenate([i for _, i, _ in out]), "score": np.concatenate([s for _, _, s in out])})
-
-    found = data.groupBy("shard", "block").cogroup(asked.groupBy("shard", "block")).applyInPandas(search, "query_id long, vec_id long, score double")
-    return vectors.best(found, k, [F.asc("score"), F.asc("vec_id")])
+    centres = vectors.sample(rows, pivots, seed)
+    if not len(centres):
+        centres = np.zeros((1, 1))
+    length = min(prefix, len(centres))
+
+    def floor(asked: np.ndarray) -> np.ndarray:
+        """A distance that ``k`` other rows of the sample are within, a little raised against rounding."""
+        if len(centres) <= k:
+            return np.full(len(asked), np.inf)
+        far = (asked**2).sum(1)[:, None] - 2 * asked @ centres.T + (centres**2).sum(1)
+        return np.sqrt(np.maximum(np.partition(far, k, axis=1)[:, k], 0) * (1 + 1e-6) + 1e-6 * (asked**2).sum(1))
+
+    def each(shard: vectors.Shard, asked: vectors.Round) -> list[np.ndarray]:
+        files = PermutationFiles(shard.order, len(centres))
+        found = []
+        for i, order in enumerate(vectors.nearest_of(asked.rows, centres, length)):
+            some = files.candidates(order, share, 8 * k)
+            far = np.sqrt(((shard.rows[some] - asked.rows[i]) ** 2).sum(1))
+            last = np.partition(far, min(k, len(far) - 1))[min(k, len(far) - 1)]  # one more than k: its own row may be among them
+            near = far <= min(last, asked.floor[i])
+            found.append((np.full(near.sum(), i), some[near], far[near]))
+        return vectors.expand(asked, shard, *(np.concatenate(c) for c in zip(*found)), k)
+
+    return vectors.searched(rows, vectors.dealt(rows, k + 1, centres[: vectors.CENTRES], centres, length), every, k, floor, each, "double", lambda key: key)
 
 
 def op5_permutation_index(spark, sf_dir: str) -> DataFrame:

@@ -29,7 +29,12 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     path = f"{shared_dir(df.sparkSession)}/driftwell/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    return written(df.sparkSession, path, df.schema)
+
+
+def written(spark: SparkSession, path: str, schema) -> DataFrame:
+    """The table that was written to ``path``, as ``materialise`` gives it."""
+    out = spark.read.schema(schema).parquet(path)
     out._driftwell_path = path
     return out
 

@@ -272,12 +272,57 @@ VECTORS = [(0, [1.0, 2.0]), (1, None), (2, [1.0, None]), (3, [float("nan"), 1.0]
 def test_vectors_that_take_no_part(spark):
     df = spark.createDataFrame(VECTORS, "vec_id long, embedding array<float>")
     got = permutation_index.nearest(df).toPandas()
-    assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == [5, 100, 7]
+    assert got[got.query_id == 0].sort_values("rank").vec_id.tolist() == [5, 5, 100, 7]
     top = block_topk.top_products(df).toPandas()
-    assert top[top.query_id == 0].sort_values("rank").vec_id.tolist() == [7, 5, 100, 4]
+    assert top[top.query_id == 0].sort_values("rank").vec_id.tolist() == [7, 5, 5, 100, 4]
     assert permutation_index.nearest(df.limit(0)).count() == 0 and block_topk.top_products(df.limit(0)).count() == 0
 
 
+def by_rows(rows, every, k, far):
+    """Each row's k best other rows, as (query_id, rank, vec_id, score)."""
+    out = []
+    for i, (q, v) in enumerate(rows):
+        if q % every == 0:
+            best = sorted((far(v, w), c) for j, (c, w) in enumerate(rows) if j != i)[:k]
+            out += [(q, r, c, s) for r, (s, c) in enumerate(best, 1)]
+    return sorted(out)
+
+
+def test_repeated_rows_and_ties_are_each_searched(spark):
+    rng = np.random.default_rng(2)
+    some = [rng.integers(-2, 3, 3).astype(float).tolist() for _ in range(40)]
+    rows = [(int(i), some[j]) for i, j in zip(rng.integers(1, 60, 200), rng.integers(0, 40, 200))] + [(100, some[0])] * 30 + [(200, some[0]), (200, some[1])]
+    df = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<float>, score string, rank double")
+    product = lambda v, w: -int(np.dot(np.floor(64 * np.array(v)), np.floor(64 * np.array(w))))
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], -r["score"]) for r in block_topk.top_products(df, every=10, k=7).collect())
+    assert got == by_rows(rows, 10, 7, product)
+    whole = [(i, v) for i, v in rows if any(v)]
+    got = sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in permutation_index.nearest(df, every=10, k=7, share=1.0).collect())
+    assert got == by_rows(whole, 10, 7, lambda v, w: float(np.sqrt(((np.array(v) - np.array(w)) ** 2).sum())))
+
+
+def test_products_are_exact_or_raise(spark):
+    kind = "vec_id long, embedding array<double>"
+    big = spark.createDataFrame([(0, [2.0**21 + 1, 3.0]), (1, [2.0**22 + 3, 5.0])], kind)
+    (got,) = block_topk.top_products(big, every=20).collect()
+    assert got["score"] == 64 * 64 * ((2**21 + 1) * (2**22 + 3) + 15)
+    for x in (2.0**40, 2.0**60):
+        with pytest.raises(Exception, match="long"):
+            block_topk.top_products(spark.createDataFrame([(0, [x]), (1, [x])], kind)).collect()
+
+
+def test_blocks_of_similar_vectors_are_pruned():
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(50, 16)) * 40
+    rows = np.floor(np.repeat(centres, 128, axis=0) + rng.normal(size=(6400, 16)))
+    queries = rows[::97]
+    query, row, score, pairs = block_topk.block_search(rows, queries, np.full(len(queries), -np.inf), 10)
+    assert pairs < 0.25 * len(queries) * 100
+    for q in range(len(queries)):
+        want = np.sort(rows @ queries[q])[::-1][:11]
+        assert np.sort(score[query == q])[::-1][:11].tolist() == want.tolist()
+
+
 # ----------------------------------------------------------------- duplicates
 
 
