@@ -171,29 +171,54 @@ def test_sequences_hold_the_ids(spark):
 # -------------------------------------------------------------------- scoring
 
 
-def brute_ppm(train, text, order=ppm.ORDER):
+def brute_ppm(train, texts, order=ppm.ORDER):
+    """Scores by dictionaries of what follows each context; escapes by leaving each training byte out once."""
     seen = [defaultdict(Counter) for _ in range(order + 1)]
     for t in train:
         s = ppm.coded(t)
         for i in range(order, len(s)):
             for k in range(order + 1):
                 seen[k][s[i - k : i]][s[i]] += 1
-    total, s = 0.0, ppm.coded(text)
-    for i in range(order, len(s)):
-        out = set()
-        for k in range(order, -1, -1):
-            all_ = seen[k].get(s[i - k : i], {})
-            own = {x: n for x, n in all_.items() if x not in out}
-            t = sum(own.values())
-            if t and s[i] in own:
-                total += np.log10((own[s[i]] - 0.5) / t)
-                break
-            if t:
-                total += np.log10(len(own) / 2 / t)
-            out |= set(all_)
-        else:
-            total -= np.log10(256 - len(seen[0][b""]))
-    return total
+    kind = lambda t, d: tuple(min(int(3 * np.log2(x)), 59) if x > 1 else 0 for x in (t, d))
+    escapes = [defaultdict(lambda: [0, 0]) for _ in range(order + 1)]
+    for k, contexts in enumerate(seen):
+        longer = seen[k + 1] if k < order else {c + b"?": {} for c in contexts}
+        for context in longer if k < order else contexts:
+            short = contexts[context[-k:] if k else b""] if k < order else contexts[context]
+            above = longer[context] if k < order else {}
+            for x in above if k < order else short:
+                if k < order and above[x] > 1:
+                    continue  # left out once, it is still known there
+                rest = Counter({y: n for y, n in short.items() if y not in above or y == x})
+                rest[x] -= 1
+                rest = +rest
+                if total := sum(rest.values()):
+                    got = escapes[k][kind(total, len(rest))]
+                    times = 1 if k < order else short[x]
+                    got[0] += times * (x not in rest)
+                    got[1] += times
+    out = []
+    for text in texts:
+        total, s = 0.0, ppm.coded(text)
+        for i in range(order, len(s)):
+            gone: set = set()
+            for k in range(order, -1, -1):
+                all_ = seen[k].get(s[i - k : i], {})
+                own = {x: n for x, n in all_.items() if x not in gone}
+                t = sum(own.values())
+                gone |= set(all_)
+                if not t:
+                    continue
+                e, n = escapes[k][kind(t, len(own))]
+                p = min(max((e + min(max(len(own) / 2 / t, 0.01), 0.99)) / (n + 1), 1e-4), 1 - 1e-4)
+                if s[i] in own:
+                    total += np.log10(own[s[i]] / t * (1 - p))
+                    break
+                total += np.log10(p)
+            else:
+                total -= np.log10(256 - len(seen[0][b""]))
+        out.append(total)
+    return out
 
 
 def test_op2_equals_brute_force(spark, docs):
@@ -204,11 +229,16 @@ def test_op2_equals_brute_force(spark, docs):
     counts = Counter(x for w in train for x in [*w, None])
     n, v = sum(counts.values()), len(counts)
     assert got.held_out.tolist() == held and (got.train_tokens == n).all()
+    assert got.n_tokens.tolist() == [len(w) + 1 for w in words] and got.n_known.tolist() == [sum(counts[x] > 0 for x in [*w, None]) for w in words]
     base = [sum(np.log10((counts[x] + 1) / (n + v + 1)) for x in [*w, None]) for w in words]
-    assert np.allclose(got.base_score, base)
-    some = sorted(range(len(words)), key=lambda i: len(words[i]))[:6]
-    for i in some:
-        assert got.score.iloc[i] == pytest.approx(brute_ppm(train, words[i]))
+    assert np.allclose(got.base_score, base, rtol=0, atol=1e-8)
+    assert np.allclose(got.score, brute_ppm(train, words), rtol=0, atol=1e-7)
+
+
+def test_op2_beats_the_unigram_base_on_held_out_documents(spark):
+    got = registry.queries()["op2_ppm_scoring"](spark, DATA.replace("0.001", "0.1")).toPandas()
+    test = got[got.held_out]
+    assert test.score.sum() / test.n_tokens.sum() > test.base_score.sum() / test.n_tokens.sum() + 0.1
 
 
 def test_code_lengths_are_a_distribution():
@@ -216,8 +246,11 @@ def test_code_lengths_are_a_distribution():
     g, n = np.unique(np.concatenate([ppm.grams(ppm.coded(t)) for t in train]), return_counts=True)
     pairs = np.zeros((256, 256), dtype=np.int64)
     np.add.at(pairs, ((g >> 8) & 255, g & 255), n)
-    every = (int(g[3]) & ~255) + np.arange(256)
-    assert (10 ** ppm.code_lengths(every, g, n, pairs)).sum() == pytest.approx(1)
+    trie = ppm.Trie(g, n, pairs)
+    escapes = {size: trie.escapes(size) for size in range(1, ppm.SPAN + 1)}
+    for context in g[:5]:
+        every = (int(context) & ~255) + np.arange(256)
+        assert (10 ** trie.code_lengths(every, escapes)).sum() == pytest.approx(1)
 
 
 def test_scoring_handles_odd_rows(spark):
