@@ -117,8 +117,9 @@ def next_visit(bullets: DataFrame) -> DataFrame:
 def hour_retention(bullets: DataFrame) -> DataFrame:
     """Of each day's users, those seen again 24 to 48 and 72 to 96 hours after their first shot that day."""
     days = bullets.groupBy("user_id", F.to_date("event_timestamp").alias("day")).agg(F.min("event_timestamp").alias("first"), F.max("event_timestamp").alias("last"))
-    again = days.select("user_id", F.col("first").alias("f2"), F.col("last").alias("l2"))
-    both = days.join(again, "user_id", "left")
+    # only days that can hold an hour of a window: one to four days later, an equi-join
+    again = days.select("user_id", F.explode(F.transform(F.sequence(F.lit(1), F.lit(4)), lambda n: F.date_sub("day", n))).alias("day"), F.col("first").alias("f2"), F.col("last").alias("l2"))
+    both = days.join(again, ["user_id", "day"], "left")
     inside = lambda a, b: F.max(F.when((F.col("l2") >= F.col("first") + F.expr(f"INTERVAL {a} HOURS")) & (F.col("f2") < F.col("first") + F.expr(f"INTERVAL {b} HOURS")), 1).otherwise(0))
     one = both.groupBy("user_id", "day").agg(inside(24, 48).alias("d1"), inside(72, 96).alias("d3"))
     return one.groupBy("day").agg(F.count("*").alias("users"), F.sum("d1").alias("day1"), F.sum("d3").alias("day3"))
@@ -156,13 +157,14 @@ def before_first_free(bets: DataFrame) -> DataFrame:
     return rows.groupBy("day", "user_id", "ai_group").agg(F.count(F.when(F.col("free") == 0, F.col("bet_amount"))).alias("bets_before_free"), F.max("free").alias("free_games"))
 
 
-def left_after_last(bets: DataFrame) -> DataFrame:
-    """Mean BASE bet of a user and day after the last spin at table 0 that day (none: null)."""
-    day = F.to_date("created_at")
-    rows = bets.withColumn("day", day)
-    last = rows.where("table_id = 0").groupBy("user_id", "day").agg(F.min("spin_id").alias("last"))
-    joined = last.join(rows.where("bet_type = 'BASE'").select("user_id", "day", "spin_id", "bet_amount"), ["user_id", "day"], "left")
-    return joined.groupBy("user_id", "day").agg(F.avg(F.when(F.col("spin_id") > F.col("last"), F.col("bet_amount"))).alias("remaining_bet"), F.count(F.when(F.col("spin_id") > F.col("last"), 1)).alias("remaining_bets"))
+def left_after_last(bets: DataFrame, group: str = "AI") -> DataFrame:
+    """Of each user, day and table of one group: the mean bet of the day's bets after the last spin at the table (none: null).
+
+    One window pass: a running suffix of the day's bets replaces the inequality join."""
+    rows = bets.where(F.col("ai_group") == group).withColumn("day", F.to_date("created_at"))
+    after = Window.partitionBy("user_id", "day").orderBy("spin_id").rangeBetween(1, Window.unboundedFollowing)
+    rows = rows.select("user_id", "day", "table_id", "spin_id", F.avg("bet_amount").over(after).alias("remaining_bet"), F.count("bet_amount").over(after).alias("remaining_bets"))
+    return rows.groupBy("user_id", "day", "table_id").agg(F.max_by("remaining_bet", "spin_id").alias("remaining_bet"), F.max_by("remaining_bets", "spin_id").alias("remaining_bets"))
 
 
 def weekly_compare(daily: DataFrame, date: str, value: str, n: int = 7) -> DataFrame:

@@ -181,6 +181,6 @@ SELECT user_id, min(event_timestamp) AS first_shot, min(event_timestamp) FILTER
   count(*) FILTER (kb = 0 AND killed = 0) AS shots_before_kill, arg_min(fish_value, event_timestamp) AS first_fish FROM r GROUP BY user_id""",
     "bets_before_first_free": f"""WITH {BETS_SQL}, r AS (SELECT *, CAST(created_at AS DATE) AS day, sum(CASE WHEN bet_type = 'FREE' THEN 1 ELSE 0 END) OVER (PARTITION BY user_id, CAST(created_at AS DATE) ORDER BY created_at, spin_id ROWS UNBOUNDED PRECEDING) AS free FROM bets)
 SELECT day, user_id, ai_group, count(CASE WHEN free = 0 THEN bet_amount END) AS bets_before_free, CAST(max(free) AS BIGINT) AS free_games FROM r GROUP BY ALL""",
-    "remaining_bets": f"""WITH {BETS_SQL}, r AS (SELECT *, CAST(created_at AS DATE) AS day FROM bets), l AS (SELECT user_id, day, min(spin_id) AS last FROM r WHERE table_id = 0 GROUP BY ALL)
-SELECT l.user_id, l.day, round(avg(b.bet_amount), 6) + 0.0 AS remaining_bet, count(b.spin_id) AS remaining_bets FROM l LEFT JOIN r b ON b.user_id = l.user_id AND b.day = l.day AND b.spin_id > l.last AND b.bet_type = 'BASE' GROUP BY l.user_id, l.day""",
+    "remaining_bets": f"""WITH {BETS_SQL}, r AS (SELECT *, CAST(created_at AS DATE) AS day FROM bets WHERE ai_group = 'AI'), l AS (SELECT user_id, day, table_id, max(spin_id) AS last FROM r GROUP BY ALL)
+SELECT l.user_id, l.day, l.table_id, round(avg(b.bet_amount), 6) + 0.0 AS remaining_bet, count(b.bet_amount) AS remaining_bets FROM l LEFT JOIN r b ON b.user_id = l.user_id AND b.day = l.day AND b.spin_id > l.last GROUP BY l.user_id, l.day, l.table_id""",
 }

@@ -35,7 +35,12 @@ def _upsert(spark, d):
 
 def _difference(spark, d):
     o, c = load(spark, d, "orders"), load(spark, d, "customer")
-    return c.select(F.col("c_custkey").alias("id")).subtract(o.select(F.col("o_custkey").alias("id")))
+    return c.select(F.col("c_custkey").alias("id")).subtract(o.where("o_totalprice > 250000").select(F.col("o_custkey").alias("id")))
+
+
+def _intersection(spark, d):
+    o, c = load(spark, d, "orders"), load(spark, d, "customer")
+    return c.where("c_acctbal > 0").select(F.col("c_custkey").alias("id")).intersect(o.where("o_totalprice > 250000").select(F.col("o_custkey").alias("id")))
 
 
 def _semi_anti(spark, d):
@@ -157,7 +162,7 @@ def _top10(spark, d):
 
 
 QUERIES = {
-    "asof_join": _asof, "band_join": _band, "upsert_merge": _upsert, "set_difference": _difference, "semi_anti_join": _semi_anti, "pivot_day_type": _pivot,
+    "asof_join": _asof, "band_join": _band, "upsert_merge": _upsert, "set_difference": _difference, "set_intersection": _intersection, "semi_anti_join": _semi_anti, "pivot_day_type": _pivot,
     "top_n_others": _top_others, "unpivot_stats": _unpivot, "time_resample": _resample, "gap_groups": _gap_groups, "scalar_functions": _scalars, "split_explode": _split,
     "weekly_compare": _weekly, "year_over_year": _year_over_year, "literal_map_join": _literal_map, "mode_per_group": _mode, "group_hash_sample": _hash_sample,
     "trim_first_last": _trim_ends, "transition_matrix": _transitions, "ordered_sequences": _sequences, "union_aligned": _union_align, "top_ten": _top10,
@@ -167,7 +172,8 @@ SQL = {
     "asof_join": "SELECT b.event_id, b.user_id, b.ts AS bought_at, v.ts AS viewed_at, v.value AS view_value FROM (SELECT * FROM events WHERE event_type = 'purchase') b ASOF LEFT JOIN (SELECT * FROM events WHERE event_type = 'view') v ON b.user_id = v.user_id AND b.ts >= v.ts",
     "band_join": "WITH f AS (SELECT user_id, min(ts) AS first_ts FROM events GROUP BY user_id) SELECT user_id, count(*) AS n, max(ts) AS last_ts FROM f JOIN events e USING (user_id) WHERE e.ts >= first_ts AND e.ts < first_ts + INTERVAL 86400 SECOND GROUP BY user_id",
     "upsert_merge": "WITH o AS (SELECT * FROM customer WHERE c_custkey % 3 <> 0), n AS (SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 'NEW' END AS c_mktsegment, c_nationkey FROM customer WHERE c_custkey % 2 = 0) SELECT c_custkey, coalesce(n.c_mktsegment, o.c_mktsegment) AS c_mktsegment, o.c_acctbal, n.c_nationkey FROM o FULL JOIN n USING (c_custkey)",
-    "set_difference": "SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders",
+    "set_difference": "SELECT c_custkey AS id FROM customer EXCEPT SELECT o_custkey FROM orders WHERE o_totalprice > 250000",
+    "set_intersection": "SELECT c_custkey AS id FROM customer WHERE c_acctbal > 0 INTERSECT SELECT o_custkey FROM orders WHERE o_totalprice > 250000",
     "semi_anti_join": "SELECT c_mktsegment, CASE WHEN c_custkey IN (SELECT o_custkey FROM orders WHERE o_totalprice > 200000) THEN 'with' ELSE 'without' END AS side, count(*) AS n FROM customer GROUP BY ALL",
     "pivot_day_type": "SELECT CAST(ts AS DATE) AS day, " + ", ".join(f"count(*) FILTER (event_type = '{k}') AS {k}" for k in ("click", "error", "purchase", "signup", "view")) + " FROM events GROUP BY ALL",
     "top_n_others": "WITH n AS (SELECT p_brand, count(*) AS n FROM part GROUP BY p_brand), r AS (SELECT *, row_number() OVER (ORDER BY n DESC, p_brand) AS r FROM n) SELECT CASE WHEN r <= 5 THEN p_brand ELSE 'Others' END AS brand, CAST(sum(n) AS BIGINT) AS n FROM r GROUP BY ALL",
