@@ -8,6 +8,7 @@ from its rank among the pieces of its length.
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 import zlib
@@ -25,7 +26,7 @@ from driftwell.llm.store import materialise
 #: The split pattern of byte-level BPE vocabularies.
 BYTE_LEVEL_PATTERN = r"""'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 Pattern = tuple[tuple[int, int], ...]  # (length, copies), the largest length first
 
 
@@ -247,7 +248,7 @@ def fillings(counts: dict[int, int], room: int, effort: int, every: bool = False
     return sorted((waste, filling) for filling, waste in found.items()), whole
 
 
-def solve(counts: dict[int, int], capacity: int, nodes: int = 400, effort: int = 2_000, branches: int = 3, exact_nodes: int = 2_000) -> tuple[list[tuple[Pattern, int]], int, bool]:
+def solve(counts: dict[int, int], capacity: int, nodes: int = 150, effort: int = 2_000, branches: int = 3, exact_nodes: int = 300) -> tuple[list[tuple[Pattern, int]], int, bool]:
     """Patterns and how many sequences each fills, a lower bound of the sequences, and whether no packing has fewer.
 
     Branch and bound: around the largest length left, each undominated filling
@@ -265,16 +266,27 @@ def solve(counts: dict[int, int], capacity: int, nodes: int = 400, effort: int =
     least, total = _least_bins(counts, capacity), sum(x * n for x, n in counts.items())
     for every, budget in ((False, nodes), (True, exact_nodes)):
         whole = every
-        seen: dict[tuple, int] = {}
-        stack: list[tuple[dict[int, int], list, int, int]] = [(counts, [], 0, 0)]
+        seen: dict[bytes, int] = {}
+        stack: list[tuple[tuple | None, int, int]] = [(None, 0, 0)]  # (pattern, times, the sequences before), how many, their waste
         while stack and size > least:
             if not budget:
                 whole = False
                 break
             budget -= 1
-            left, done, bins, waste = stack.pop()
+            chain, bins, waste = stack.pop()
             if waste > (size - 1) * capacity - total:
                 continue
+            left, done, at = dict(counts), [], chain
+            while at:
+                done.append(at[:2])
+                for x, n in at[0]:
+                    left[x] -= n * at[1]
+                at = at[2]
+            left = {x: n for x, n in left.items() if n}
+            key = hashlib.blake2b(np.array(sorted(left.items()), dtype=np.int64).tobytes(), digest_size=16).digest()
+            if seen.get(key, bins + 1) <= bins:  # the same pieces were left by as few sequences
+                continue
+            seen[key] = bins
             if done:
                 rest = best_fit(left, capacity)
                 if bins + sum(n for _, n in rest) < size:
@@ -288,12 +300,7 @@ def solve(counts: dict[int, int], capacity: int, nodes: int = 400, effort: int =
                 use = dict(filling)
                 use[top] = use.get(top, 0) + 1
                 times = 1 if every else min(left[x] // n for x, n in use.items())
-                after = {x: n - times * use.get(x, 0) for x, n in left.items() if n > times * use.get(x, 0)}
-                key = tuple(sorted(after.items()))
-                if seen.get(key, bins + times + 1) <= bins + times:  # the same pieces were left by as few sequences
-                    continue
-                seen[key] = bins + times
-                stack.append((after, [*done, (tuple(sorted(use.items(), reverse=True)), times)], bins + times, waste + lost * times))
+                stack.append(((tuple(sorted(use.items(), reverse=True)), times, chain), bins + times, waste + lost * times))
         if whole or size <= least:
             return best, least, True
     return best, least, False
