@@ -16,10 +16,12 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from driftwell.llm.store import discard, materialise
+
 SLOTS = 1 << 22
 _WORDS = re.compile(r"[^\W\d_]+").findall
 #: Words whose slots a worker remembers.
-REMEMBERED = 300_000
+REMEMBERED = 100_000
 _seen: dict[str, tuple[int, ...]] = {}
 
 
@@ -66,34 +68,24 @@ def _evidence(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
     return np.sign(a / n_a - b / n_b) * 2 * (own(a, n_a, rate) + own(b, n_b, rate))
 
 
-def _held(texts: list[np.ndarray]) -> np.ndarray:
-    """How many of ``texts`` fill each slot."""
-    out = np.zeros(SLOTS, dtype=np.int32)
-    for slots in texts:  # a text names a slot once
-        out[slots] += 1
-    return out
+def telling(slots: np.ndarray, in_p: np.ndarray, in_u: np.ndarray, n_p: int, n_u: int, least: int = 4, evidence: float = 16.0) -> np.ndarray:
+    """The slots that ``least`` texts fill and that positive texts fill more often, with a
+    likelihood ratio statistic of ``evidence`` or more; slots that only seem to tell
+    the classes apart would be learnt by heart."""
+    common = np.flatnonzero(in_p + in_u >= least)
+    return np.sort(slots[common[_evidence(in_p[common], n_p, in_u[common], n_u) >= evidence]]).astype(np.int32)
 
 
-def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, least: int = 4, evidence: float = 16.0, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, beta: float = 0.0) -> PuModel:
-    """Adam on the whole sample.
+def train(positive: list[np.ndarray], unlabelled: list[np.ndarray], slots: np.ndarray, prior: float, steps: int = 300, rate: float = 0.05, decay: float = 1e-4, beta: float = 0.0) -> PuModel:
+    """Adam on the whole sample, whose texts are given by those of ``slots`` that they fill.
 
-    Kept are slots that ``least`` texts fill and that positive texts fill more
-    often, with a likelihood ratio statistic of ``evidence`` or more; slots that
-    only seem to tell the classes apart would be learnt by heart.
     Without a positive or an unlabelled text the model is the prior alone."""
     prior = float(np.clip(prior, 1e-4, 0.9))
     start = float(np.log(prior / (1 - prior)))
     if not positive or not unlabelled:
         return PuModel(np.zeros(0, dtype=np.int32), np.zeros(0), start)
     texts = [*positive, *unlabelled]
-    in_p, in_u = _held(positive), _held(unlabelled)
-    common = np.flatnonzero(in_p + in_u >= least)
-    slots = common[_evidence(in_p[common], len(positive), in_u[common], len(unlabelled)) >= evidence].astype(np.int32)
-    place = np.full(SLOTS, -1, dtype=np.int32)
-    place[slots] = np.arange(len(slots))
-    kept = [x[x >= 0] for x in (place[t] for t in texts)]
-    row, col = np.repeat(np.arange(len(texts)), [len(x) for x in kept]), np.concatenate(kept)
-    del in_p, in_u, place, kept
+    row, col = np.repeat(np.arange(len(texts)), [len(x) for x in texts]), np.searchsorted(slots, np.concatenate(texts))
     pos = np.arange(len(texts)) < len(positive)
     n_p, n_u = pos.sum(), (~pos).sum()
     w, b = np.zeros(len(slots)), start
@@ -122,7 +114,8 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3_000, unlabelled:
     """A model from the documents outside fold 2.
 
     ``positives`` and ``unlabelled`` bound the sample (the least hashes of
-    doc_id, each id once); only these texts' slots reach the driver.  Of an id's
+    doc_id, each id once); how many of its texts fill a slot, and the slots that
+    tell the classes apart, reach the driver.  Of an id's
     rows the least text counts.  The class prior is the share of toxic rows
     among the labelled ones of the training folds, unless given.  A document
     with several labels is toxic if one says so.
@@ -137,15 +130,27 @@ def fit(docs: DataFrame, labels: DataFrame, positives: int = 3_000, unlabelled:
     rest = rest.distinct().orderBy(turn, "doc_id").limit(unlabelled).withColumn("toxic", F.lit(False))
     chosen = F.broadcast(yes.unionByName(rest))  # positives + unlabelled ids at most
 
-    @F.pandas_udf("binary")
+    @F.pandas_udf("array<int>")
     def filled(texts: pd.Series) -> pd.Series:
-        return pd.Series([features(t).tobytes() for t in texts], dtype=object)
+        return pd.Series([features(t) for t in texts], dtype=object)
 
     rows = docs.select("doc_id", "text").join(chosen, "doc_id").groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))  # a row an id and class
-    rows = sorted(rows.select("doc_id", "toxic", filled("text").alias("slots")).collect(), key=lambda r: (r["doc_id"], r["toxic"]))
-    texts = {k: [np.frombuffer(r["slots"], dtype=np.int32) for r in rows if r["toxic"] == k] for k in (True, False)}
-    del rows
-    return train(texts[True], texts[False], prior)
+    rows = materialise(rows.select("doc_id", "toxic", filled("text").alias("slots")), "sample")
+    n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    each = rows.select("toxic", F.explode("slots").alias("slot")).groupBy("slot").agg(F.count(F.when(F.col("toxic"), 1)).alias("p"), F.count("*").alias("all"))
+    each = each.where(F.col("all") >= 4).toArrow()  # slots that four texts fill: SLOTS numbers at most
+    slot, in_p, in_all = (each.column(c).to_numpy() for c in ("slot", "p", "all"))
+    slots = telling(slot, in_p, in_all - in_p, n.get(True, 0), n.get(False, 0)) if len(n) == 2 else np.zeros(0, dtype=np.int32)
+
+    @F.pandas_udf("array<int>")
+    def kept(found: pd.Series) -> pd.Series:
+        return pd.Series([np.intersect1d(x, slots) for x in found], dtype=object)
+
+    texts: dict[bool, list] = {True: [], False: []}
+    for r in sorted(rows.select("doc_id", "toxic", kept("slots").alias("slots")).collect(), key=lambda r: (r["doc_id"], r["toxic"])):
+        texts[r["toxic"]].append(np.array(r["slots"], dtype=np.int32))
+    discard(rows)
+    return train(texts[True], texts[False], slots, prior)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, name: str = "score", model: PuModel | None = None, **sample) -> DataFrame:
