@@ -8,6 +8,7 @@ part is negative, the step goes the other way.
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -20,21 +21,13 @@ from driftwell.llm.store import discard, materialise
 
 SLOTS = 1 << 22
 _WORDS = re.compile(r"[^\W\d_]+").findall
-#: Words whose slots a worker remembers.
+#: Words of which a worker remembers the slots that have a weight.
 REMEMBERED = 100_000
-_seen: dict[str, tuple[int, ...]] = {}
 
 
-def _slots(word: str) -> tuple[int, ...]:
-    got = _seen.get(word)
-    if got is None:
-        if len(_seen) >= REMEMBERED:
-            _seen.clear()
-        parts = {word + "$", *(word[:n] for n in (4, 5, 6, 7, 8) if len(word) >= n)}
-        got = tuple(zlib.crc32(p.encode("utf-8", "surrogatepass")) % SLOTS for p in sorted(parts))
-        if len(word) <= 64:  # longer ones would fill the memory, and rarely come again
-            _seen[word] = got
-    return got
+def _slots(word: str) -> set[int]:
+    parts = {word + "$", *(word[:n] for n in (4, 5, 6, 7, 8) if len(word) >= n)}
+    return {zlib.crc32(p.encode("utf-8", "surrogatepass")) % SLOTS for p in parts}
 
 
 def features(text: str | None) -> np.ndarray:
@@ -47,14 +40,25 @@ class PuModel:
 
     def __init__(self, slots: np.ndarray, weights: np.ndarray, bias: float):
         keep = np.abs(weights) > 1e-3
-        self.slots, self.weights, self.bias = slots[keep], weights[keep], bias
-
-    def score(self, found: np.ndarray) -> float:
-        if not len(self.slots):
-            return 1 / (1 + np.exp(-self.bias))
-        at = np.minimum(np.searchsorted(self.slots, found), len(self.slots) - 1)
-        z = self.bias + self.weights[at][self.slots[at] == found].sum()
-        return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
+        self.weights, self.bias = dict(zip(slots[keep].tolist(), weights[keep].tolist())), float(bias)
+        self.seen: dict[str, tuple[int, ...]] = {}  # of a word the slots that have a weight, mostly none
+
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"seen": {}}
+
+    def score(self, text: str | None) -> float:
+        words = set(_WORDS((text or "").lower()))
+        new = [w for w in words if w not in self.seen]
+        if len(self.seen) + len(new) > REMEMBERED:
+            self.seen.clear()
+            new = list(words)
+        for w in new:
+            self.seen[w] = tuple(x for x in _slots(w) if x in self.weights)
+        found = set().union(*filter(None, map(self.seen.__getitem__, words)))
+        z = self.bias + sum(self.weights[x] for x in sorted(found))
+        if len(self.seen) > REMEMBERED:  # a text of very many words
+            self.seen.clear()
+        return 1 / (1 + math.exp(-min(30.0, max(-30.0, z))))
 
 
 def _evidence(a: np.ndarray, n_a: int, b: np.ndarray, n_b: int) -> np.ndarray:
@@ -164,7 +168,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, name: str = "score", model: PuM
 
     @F.pandas_udf("double")
     def scored(texts: pd.Series) -> pd.Series:
-        return pd.Series([held.value.score(features(t)) for t in texts], dtype="float64")
+        return pd.Series([held.value.score(t) for t in texts], dtype="float64")
 
     return docs.withColumn(name, scored(F.col("text")))
 
