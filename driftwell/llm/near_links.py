@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from driftwell.llm.components import components
 from driftwell.llm.simhash import BATCH, linked, sampled_views, shingle_set, sketch
-from driftwell.llm.store import discard, materialise
+from driftwell.llm.store import discard, materialise, trim
 
 #: Rows of a table of row numbers that is broadcast; a larger one is joined by a shuffle.
 SMALL = 500_000
@@ -89,16 +89,17 @@ def verified(pairs: DataFrame, sole: DataFrame, texts: DataFrame, shingle: int,
     def may(size_a: pd.Series, size_b: pd.Series, a: pd.Series, b: pd.Series) -> pd.Series:
         return pd.Series(possible(size_a.to_numpy(), size_b.to_numpy(), least_apart(a.to_numpy(), b.to_numpy()), least), dtype=bool)
 
-    @F.pandas_udf("boolean")
-    def near(a: pd.Series, b: pd.Series) -> pd.Series:
-        out, last, x = [], None, None
-        for s, t in zip(a, b):
-            if x is None or s != last:
-                last, x = s, shingle_set(s, shingle)
-            y = shingle_set(t, shingle)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
-        return pd.Series(out, dtype=bool)
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
+        for batch in batches:  # texts are taken one by one, so that few of them are held twice
+            u, out, last, x = batch.column("u").to_numpy(), [], None, np.zeros(0)
+            for i in range(len(u)):
+                if u[i] != last:
+                    last, x = u[i], shingle_set(batch.column("a")[i].as_py(), shingle)
+                y = shingle_set(batch.column("b")[i].as_py(), shingle)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                out.append(both >= least * (len(x) + len(y) - both) - 1e-9)
+            yield batch.select(["u", "v"]).filter(pa.array(out, pa.bool_()))
 
     side = lambda c: sole.select(F.col("row").alias(c), F.col("size").alias(f"size_{c}"), F.col("parity").alias(f"parity_{c}"))
     some = pairs.join(side("u"), "u").join(side("v"), "v").where(may("size_u", "size_v", "parity_u", "parity_v"))
@@ -107,7 +108,8 @@ def verified(pairs: DataFrame, sole: DataFrame, texts: DataFrame, shingle: int,
     met = _semi(texts, ids, "row")
     left = met.select(F.col("row").alias("u"), F.col("text").alias("a"))
     right = met.select(F.col("row").alias("v"), F.col("text").alias("b"))
-    out = materialise(some.join(left, "u").join(right, "v").where(near("a", "b")).select("u", "v"), "verified")
+    both = some.join(left, "u").join(right, "v").select("u", "v", "a", "b")
+    out = materialise(both.mapInArrow(near, "u long, v long"), "verified")
     discard(some)
     return out
 
@@ -123,8 +125,8 @@ def _common(texts: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for text in batch.column("text").to_pylist():
-                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text, shingle).view("<i8"))], names=["token"])
+            for text in batch.column("text"):
+                yield pa.RecordBatch.from_arrays([pa.array(shingle_set(text.as_py(), shingle).view("<i8"))], names=["token"])
 
     held = some.select("text").mapInArrow(each, "token long").groupBy("token").agg(F.count("*").alias("n")).where("n > 2")
     top = held.orderBy(F.desc("n"), "token").limit(HOT_LIMIT).collect()
@@ -157,6 +159,7 @@ def _by_token(each):
     """A function of frames in the order of ``token`` (and ``part``) that sees whole runs, ``BATCH`` rows or more at once."""
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        trim()
         held, rows = [], 0
         for frame in frames:
             held.append(frame)
@@ -252,10 +255,11 @@ def missed(sole: DataFrame, texts: DataFrame, links: DataFrame, shingle: int, le
     common = texts.sparkSession.sparkContext.broadcast(_common(texts, shingle))
 
     def tokens(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trim()
         for batch in batches:
             made, size = [], []
-            for text in batch.column("text").to_pylist():
-                whole = shingle_set(text, shingle)
+            for text in batch.column("text"):
+                whole = shingle_set(text.as_py(), shingle)
                 made.append(prefix(whole, common.value, least) if len(whole) else whole)
                 size.append(len(whole))
             n = np.array([len(x) for x in made], dtype=np.int64)

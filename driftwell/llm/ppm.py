@@ -15,8 +15,6 @@ nor the trie is ever whole in one place.
 
 from __future__ import annotations
 
-import ctypes
-import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +25,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.llm.store import discard, materialise
+from driftwell.llm.store import materialise, trim
 
 ORDER = 5
 SPAN = ORDER + 1
@@ -199,19 +197,9 @@ def _packed(docs: DataFrame, id_col: str, text_col: str, train: Column, blocks:
     return docs.select(block.alias("block"), F.col(id_col).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), pack(F.col(text_col)).alias("blob"))
 
 
-def _trim() -> None:
-    """Give back what the last block has left; workers live on between stages."""
-    gc.collect()
-    pa.default_memory_pool().release_unused()
-    try:
-        ctypes.CDLL(None).malloc_trim(0)
-    except AttributeError:  # not glibc
-        pass
-
-
 def _gather(block: pa.Table) -> pa.Table:
     """A block's distinct words and grams, and how often its training texts have them."""
-    _trim()
+    trim()
     train = block.column("train").to_numpy()
     counted = []
     found = [np.zeros(0, dtype=np.int64)] * 2
@@ -231,7 +219,7 @@ def _gather(block: pa.Table) -> pa.Table:
 
 def _score(block: pa.Table, slices: pa.Table) -> pa.Table:
     """Of a block's documents: words, known ones, sum of log10(count + 1) and log10 probability."""
-    _trim()
+    trim()
     keys, value = slices.column("gram").to_numpy(), slices.column("value").to_numpy()
     is_word = keys < 0
     words = slices.column("word").filter(pa.array(is_word)).combine_chunks()

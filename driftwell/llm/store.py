@@ -3,23 +3,40 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
+import gc
 import shutil
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The session's ``spark.checkpoint.dir``; a folder of our own only if it is unset."""
+    """The session's ``spark.checkpoint.dir``.  Where it is unset, a local session
+    gets a folder of its own; on a cluster that would be another folder on each
+    machine, so an error is raised."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="driftwell-")
         atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
 
+def trim() -> None:
+    """Give back what a Python worker's last task has left; workers live on between stages."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # not glibc
+        pass
+
+
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back.
 
