@@ -27,6 +27,16 @@ def gap_seconds(before: Column, after: Column) -> Column:
     return F.unix_timestamp(after) - F.unix_timestamp(before)
 
 
+def micros(ts: Column | str) -> Column:
+    """Whole microseconds since 1970, of either kind of timestamp."""
+    return F.unix_micros((F.col(ts) if isinstance(ts, str) else ts).cast("timestamp"))
+
+
+def seconds(before: Column | str, after: Column | str) -> Column:
+    """Seconds between two timestamps with their fraction."""
+    return (micros(after) - micros(before)) / F.lit(1e6)
+
+
 def clip(value: Column, low: Column, high: Column) -> Column:
     """``value`` within bounds; a null bound doesn't bind, a null value stays null."""
     return F.when(value.isNotNull(), F.greatest(low, F.least(value, high)))
