@@ -125,3 +125,105 @@ def test_stream_equals_batch(spark, tmp_path):
     batch = session_counts(events)
     done = spark.table("sessions").count()
     assert 0 < done <= batch.count()
+
+
+def test_read_only_guard_strips_every_kind_of_comment():
+    I.read_only('SELECT 1 # drop table\n/* delete\nfrom t */ AS "update" -- merge')
+    for sql in ("SELECT 1; DELETE FROM t", "/* x */ insert into t values (1)"):
+        with pytest.raises(ValueError):
+            I.read_only(sql)
+
+
+def test_incremental_reads_only_touched_days_and_breaks_ties(spark, tmp_path):
+    path = str(tmp_path / "days")
+    make = lambda rows: lambda s, start: s.createDataFrame(rows, "k int, d date, v int").where(F.col("d") >= F.lit(start))
+    I.run_incremental(spark, path, make([(i, date(2024, 1, i), i) for i in range(1, 10)]), ["k"], "d", date(2024, 1, 1))
+    plan = I.touched_days(spark.read.parquet(path), date(2024, 1, 8))._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert I.watermark(spark, path) == date(2024, 1, 9)
+    same = [(9, date(2024, 1, 9), v) for v in (7, 5, 6)] + [(9, date(2024, 1, 8), 1)]
+    for _ in range(2):
+        I.run_incremental(spark, path, make(same), ["k"], "d", date(2024, 1, 1), 1)
+        got = {r["k"]: (r["d"].day, r["v"]) for r in spark.read.parquet(path).collect()}
+        assert got == {i: (i, i) for i in range(1, 9)} | {9: (9, 5)}
+
+
+def test_literals_and_binding():
+    from driftwell.sources import readers as R_
+
+    assert R_.bound("a = {a} AND b IN {b} AND c IS {c} AND d = {d} AND e = {e}", {"a": "x'y", "b": [1, "z"], "c": None, "d": True, "e": date(2024, 1, 2)}) == "a = 'x''y' AND b IN (1, 'z') AND c IS NULL AND d = TRUE AND e = '2024-01-02'"
+    with pytest.raises(TypeError):
+        R_.literal(object())
+
+
+def test_catalog_keeps_queries_and_binds_parameters(spark):
+    from conftest import DATA
+
+    from driftwell.sources.readers import Catalog
+
+    catalog = Catalog(spark).register(DATA, ["region", "nation"])
+    got = catalog.query("SELECT r_name FROM region WHERE r_regionkey = :key", {"key": 2}, keep=True)
+    assert got.count() == 1 and catalog.query("SELECT r_name FROM region WHERE r_regionkey = :key", {"key": 2}) is got
+    assert catalog.query("SELECT r_name FROM region WHERE r_regionkey = :key", {"key": 2}, reload=True) is not got
+    with pytest.raises(ValueError):
+        catalog.query("DROP TABLE region")
+
+
+def test_many_files_are_aligned_filtered_and_partly_readable(spark, tmp_path):
+    from driftwell.sources import readers as R_
+    from driftwell.sources import sinks as K
+
+    K.write_csv(spark.createDataFrame([(1, "a"), (2, "b")], "x int, s string").coalesce(1), str(tmp_path / "one.csv"))
+    K.write_parquet(spark.createDataFrame([(2.5, 7), (1.0, 8)], "x double, y int").coalesce(1), str(tmp_path / "two"))
+    (tmp_path / "bad.parquet").write_text("no parquet")
+    files = R_.expand(spark, str(tmp_path))
+    assert len(files) == 3 and all(f.endswith((".csv.gz", ".parquet")) for f in files)
+    df = R_.read_many(spark, [str(tmp_path), str(tmp_path / "none.csv")], source_col="file")
+    assert dict(df.dtypes) == {"file": "string", "s": "string", "x": "double", "y": "int"} and df.count() == 4
+    assert R_.read_many(spark, files[-2:] + files[:1], columns=["x", "z"], filters={"x": [1, 2]}, types={"x": "int"}).count() >= 2
+    with pytest.raises(ValueError):
+        R_.read_many(spark, [str(tmp_path / "none.csv")])
+    assert R_.read_csv_sampled(spark, [str(tmp_path / "one.csv")], ["s", "t"], sample=1).count() == 1
+    assert R_.read_csv_sampled(spark, [str(tmp_path / "one.csv")], ["s"], {"x": 2}).collect()[0]["s"] == "b"
+    (tmp_path / "raw.csv").write_text("1,2,3\n4,5,6\n")
+    assert R_.read_headerless(spark, [str(tmp_path / "raw.csv")], ["a", "b", "c"], ["c", "a"]).collect()[1]["c"] == 6
+    assert R_.read_one(spark, str(tmp_path / "raw.csv")).columns == ["1", "2", "3"]
+
+
+def test_since_and_table_sample(spark):
+    from driftwell.sources import readers as R_
+
+    df = spark.createDataFrame([(date(2024, 1, i),) for i in range(1, 10)], "d date")
+    assert R_.since(df, "d", "2024-01-04").count() == 6
+    with pytest.raises(ValueError):
+        R_.since(df, "d", "04/01/2024")
+    some = R_.table_sample(spark.range(100_000), 10, 3).count()
+    assert 9_000 < some < 11_000
+
+
+def test_sinks_write_what_is_read_back(spark, tmp_path):
+    from driftwell.sources import sinks as K
+
+    df = spark.createDataFrame([(1, "a", 0.5), (2, "b", None)], "k int, c string, x double")
+    K.write_json(df, str(tmp_path / "j"))
+    assert spark.read.json(str(tmp_path / "j")).count() == 2
+    K.fan_out(df, str(tmp_path / "f"), "c")
+    assert sorted(p.name for p in (tmp_path / "f").glob("c=*")) == ["c=a", "c=b"]
+    assert K.write_stats(df, str(tmp_path / "s")) == '[{"c": "a", "k": 1, "x": 0.5}, {"c": "b", "k": 2}]'
+    K.save_view(df, "some_view")
+    assert spark.table("some_view").count() == 2
+    K.append_cache(df, str(tmp_path / "c"))
+    out = K.append_cache(spark.createDataFrame([(3, 9)], "k int, n int"), str(tmp_path / "c"))
+    assert out.count() == 3 and sorted(out.columns) == ["c", "k", "n", "x"]
+
+
+def test_vector_index_round_trip(spark, tmp_path):
+    from driftwell.sources import sinks as K
+
+    chunks = spark.createDataFrame([(1, "a", [3.0, 4.0]), (2, "b", [0.0, 0.0])], "id int, text string, embedding array<double>")
+    K.save_index(chunks, str(tmp_path / "index"))
+    got = {r["id"]: r["embedding"] for r in K.load_index(spark, str(tmp_path / "index")).collect()}
+    assert got == {1: [0.6, 0.8], 2: [0.0, 0.0]}
+    chunks.limit(1).write.mode("overwrite").parquet(str(tmp_path / "index/chunks"))
+    with pytest.raises(ValueError):
+        K.load_index(spark, str(tmp_path / "index"))
