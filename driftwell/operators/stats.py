@@ -9,9 +9,11 @@ from driftwell.functions.columns import clip, ratio
 
 
 def moments(df: DataFrame, columns: list[str], by: list[str]) -> DataFrame:
-    """A row for each column and group: count, mean, spread, quartiles, and bias-corrected skewness and kurtosis."""
-    rows = df.unpivot(by, columns, "column", "value").where("value IS NOT NULL AND NOT isnan(value)")
+    """A row for each column and group: count, mean, spread, quartiles, and bias-corrected skewness and kurtosis
+    of its finite values; groups of fewer than two have none."""
+    rows = df.unpivot(by, columns, "column", "value").where(F.col("value").isNotNull() & ~F.isnan("value") & (F.abs("value") < float("inf")))
     out = rows.groupBy(*by, "column").agg(F.count("*").alias("n"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"), F.min("value").alias("low"), F.max("value").alias("high"), F.percentile("value", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias("q"), F.skewness("value").alias("g1"), F.kurtosis("value").alias("g2"))
+    out = out.where("n >= 2")
     n = F.col("n").cast("double")
     skew = F.when(n > 2, F.col("g1") * F.sqrt(n * (n - 1)) / (n - 2))
     kurt = F.when(n > 3, (n - 1) / ((n - 2) * (n - 3)) * ((n + 1) * F.col("g2") + 6))

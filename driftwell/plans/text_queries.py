@@ -23,14 +23,11 @@ def _bm25(spark, d):
 
 
 def _cosine(spark, d):
-    e = load(spark, d, "embeddings")
-    asked = e.where("vec_id IN (0, 1, 2)").select(F.col("vec_id").alias("query_id"), F.col("embedding").cast("array<double>").alias("q"))
-    return R.cosine_topk(e, "vec_id", "embedding", asked, 10)
+    return R.cosine_topk(load(spark, d, "embeddings"), "vec_id", "embedding", 100, 10)
 
 
 def _fusion(spark, d):
-    docs = load(spark, d, "documents")
-    return R.fuse([R.bm25(docs, "doc_id", "text", [w], 50) for w in QUERY], 20)
+    return R.fuse([R.bm25_each(load(spark, d, "documents"), "doc_id", "text", QUERY, 50)], 20)
 
 
 def _moments(spark, d):
@@ -76,7 +73,7 @@ SELECT id, score, CAST(row_number() OVER (ORDER BY score DESC, id) AS INTEGER) A
 SQL = {
     "text_chunks": "SELECT doc_id, CAST(i AS INTEGER) AS chunk_index, md5(c) AS digest FROM (SELECT doc_id, i, trim(substring(text, CAST(i * 1000 + 1 AS BIGINT), 1200), ' ') AS c FROM (SELECT doc_id, text, unnest(range(0, 1 + CAST(greatest(ceil((length(text) - 1200) / 1000), 0) AS BIGINT))) AS i FROM documents WHERE length(text) > 0)) WHERE length(c) > 0",
     "bm25_topk": f"SELECT * FROM {_bm25_sql(QUERY, 20)}",
-    "cosine_topk": """WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS score FROM embeddings e JOIN embeddings q ON q.vec_id IN (0, 1, 2) AND e.vec_id <> q.vec_id),
+    "cosine_topk": """WITH s AS (SELECT q.vec_id AS query_id, e.vec_id AS id, round(list_cosine_similarity(CAST(e.embedding AS DOUBLE[]), CAST(q.embedding AS DOUBLE[])), 9) AS score FROM embeddings e JOIN embeddings q ON q.vec_id % 100 = 0 AND e.vec_id <> q.vec_id),
       r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS INTEGER) AS rank FROM s) SELECT * FROM r WHERE rank <= 10""",
     "rank_fusion": "SELECT id, round(sum(1 / (60 + rank)), 9) AS score FROM (" + " UNION ALL ".join(f"SELECT * FROM {_bm25_sql([w], 50)}" for w in QUERY) + ") GROUP BY id ORDER BY score DESC, id LIMIT 20",
     "column_moments": "SELECT l_returnflag, \"column\", count(*) AS n, " + ", ".join(f"round({e}, 5) + 0.0 AS {n}" for n, e in {"mean": "avg(value)", "std": "stddev_samp(value)", "low": "min(value)", "high": "max(value)", "p25": "quantile_cont(value, 0.25)", "median": "median(value)", "p75": "quantile_cont(value, 0.75)", "skew": "skewness(value)", "kurtosis": "kurtosis(value)"}.items()) + " FROM (UNPIVOT (SELECT l_returnflag, l_quantity, l_extendedprice, l_discount, l_tax FROM lineitem) ON l_quantity, l_extendedprice, l_discount, l_tax INTO NAME \"column\" VALUE value) GROUP BY ALL",
