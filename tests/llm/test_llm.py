@@ -483,6 +483,38 @@ def test_license_scan_finds_wrapped_headers(spark):
     assert got == {0: ("mit", 1.0), 1: ("bsd", 1.0), 2: ("mpl-2.0", 1.0), 3: ("", 0.0)}
 
 
+def test_license_paragraphs_are_found_across_blank_lines(spark):
+    by = {}
+    for label, words in licences.TEMPLATES:
+        by.setdefault(label, words)
+        if len(words) > len(by[label]):
+            by[label] = words
+    texts = []
+    for label, words in by.items():
+        w = words.split()
+        texts.append((label, "Some code\n\n * " + "\n * ".join(" ".join(w[i : i + 9]).title() for i in range(0, len(w), 9)) + "\n\nmore text, " * 30))
+    rows = [(i, t, "en", "s", 1, 0.0, "f") for i, (_, t) in enumerate(texts)] + [(99, "the software and the license of any kind " * 20, "en", "s", 1, 0.0, "f")]
+    got = {r["doc_id"]: (r["labels"].split(","), r["score"]) for r in licences.license_scan(spark.createDataFrame(rows, DOCS)).collect()}
+    assert all(label in got[i][0] and got[i][1] == 1.0 for i, (label, _) in enumerate(texts))
+    assert got[99] == ([""], 0.0)
+
+
+def test_license_sql_equals_the_scan_on_wrapped_texts(spark):
+    import duckdb
+
+    rng = np.random.default_rng(6)
+    rows = [(None, None), (1, ""), (1, ""), (2, "x" * 5000)]
+    for i, (_, words) in enumerate(licences.TEMPLATES):
+        for gone in (0, 2, 4):  # words that are lost, so that shares are on both sides of the threshold
+            w = [x for j, x in enumerate(words.split()) if j not in set(rng.choice(len(words.split()), min(gone, len(words.split()) - 3), replace=False))]
+            cut = int(rng.integers(1, len(w)))
+            rows.append((10 + i, "Before it.\n" + " ".join(w[:cut]) + "\n  # " + " ".join(w[cut:]) + " after it"))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    con = duckdb.connect()
+    con.register("documents", df.toPandas().astype({"doc_id": "Int64"}))
+    same(licences.license_scan(df), con, licences.OP8_SQL)
+
+
 def test_native_operators_run_no_python(spark):
     for name in ("op3_hierarchical_mix", "op8_license_scan", "op10_site_line_dedup"):
         plan = registry.queries()[name](spark, DATA)._jdf.queryExecution().executedPlan().toString()
