@@ -43,14 +43,17 @@ def _lines(text: Column) -> Column:
     return F.filter(F.transform(_raw_lines(text), _trimmed), lambda x: x != "")
 
 
-def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, least_pages: int, name: str = "clean", verbatim: bool = False) -> DataFrame:
+def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, least_pages: int, name: str = "clean", verbatim: bool = False, held_by: int = 2) -> DataFrame:
     """``df`` and a struct ``name``: host, n_lines, n_dropped, text.
 
     Lines are trimmed and empty ones left out; if ``verbatim``, only to compare
     and count them, and the text keeps its other lines as they are.  A line goes from all pages of a
     host if the pages that hold it, over the host's pages, are more than
-    ``ratio``; hosts with fewer than ``least_pages`` pages lose none.  Null
-    hosts are one host, a null text has no line, a repeated row is a page more.
+    ``ratio``, and ``held_by`` pages or more hold it; hosts with fewer than
+    ``least_pages`` pages lose none.  Null hosts are one host, a null text has no
+    line and gets an empty one, a repeated row is a page more, an empty table
+    gives an empty table.  A column ``name`` of ``df`` is replaced; columns that
+    begin with two underscores are not to be given.
 
     A host's lost lines are at most its mean distinct lines a page over
     ``ratio``, so they fit a row.  Lines are counted by (host, digest), combined
@@ -60,7 +63,7 @@ def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, le
     pages = df.select(host.alias("host"), _lines(text).alias("lines"))
     held = pages.select("host", F.explode(F.array_distinct(F.transform("lines", lambda x: F.md5(x.cast("binary"))))).alias("line"))
     totals = pages.groupBy("host").agg(F.count("*").alias("pages")).where(F.col("pages") >= least_pages)
-    counted = held.groupBy("host", "line").agg(F.count("*").alias("n")).where("n > 1" if least_pages * ratio >= 1 else "n > 0")
+    counted = held.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= held_by)
     lost = counted.join(totals, "host").where(F.col("n") / F.col("pages") > ratio)
     lost = materialise(lost.groupBy("host").agg(F.collect_list("line").alias("__lost")).withColumnRenamed("host", "__host"), "boilerplate")
     joined = df.withColumn("__host", host).join(lost, "__host", "left")
@@ -75,9 +78,9 @@ def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, le
 
 
 def op10_site_line_dedup(spark, sf_dir: str) -> DataFrame:
-    """The pages' texts without the lines that over 0.3 of a host's pages hold (hosts of 4 pages or more)."""
+    """The pages' texts without the lines that over 0.3 of a host's pages hold, two of them at least."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return drop_boilerplate(pages, host_of(F.col("url")), html_text(F.col("html")), 0.3, 4).select("page_id", "clean.*")
+    return drop_boilerplate(pages, host_of(F.col("url")), html_text(F.col("html")), 0.3, 2).select("page_id", "clean.*")
 
 
 def clean_lines(spark, docs: DataFrame, ratio: float = 0.1, least_pages: int = 20) -> DataFrame:
@@ -111,7 +114,7 @@ WITH p AS (SELECT row_number() OVER () AS rid, page_id, lower(regexp_extract(coa
     list_filter(list_transform(string_split(coalesce({_sql_text("html")}, ''), chr(10)), lambda x: regexp_replace(x, '^\s+|\s+$', '', 'g')), lambda x: x <> '') AS lines FROM pages),
 t AS (SELECT host, count(*) AS pages FROM p GROUP BY host),
 c AS (SELECT host, line, count(*) AS n FROM (SELECT host, unnest(list_distinct(lines)) AS line FROM p) GROUP BY host, line),
-d AS (SELECT host, line FROM c JOIN t USING (host) WHERE pages >= 4 AND n / pages > 0.3),
+d AS (SELECT host, line FROM c JOIN t USING (host) WHERE n >= 2 AND n / pages > 0.3),
 l AS (SELECT rid, host, generate_subscripts(lines, 1) AS pos, unnest(lines) AS line FROM p),
 k AS (SELECT rid, pos, line FROM l WHERE NOT EXISTS (SELECT 1 FROM d WHERE d.host = l.host AND d.line = l.line)),
 j AS (SELECT rid, count(*) AS kept, string_agg(line, chr(10) ORDER BY pos) AS text FROM k GROUP BY rid)

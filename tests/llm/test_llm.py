@@ -435,6 +435,14 @@ def test_clean_lines_keeps_columns_and_copies(spark):
     assert line_dedup.clean_lines(None, spark.createDataFrame([], DOCS)).count() == 0
 
 
+def test_boilerplate_of_small_hosts_and_odd_pages(spark):
+    rows = [("a", "menu\none"), ("a", "menu\ntwo"), ("b", "menu\nalone"), (None, None), (None, ""), ("c", "x " * 50_000 + "\nend"), ("c", "end\n\n end "), ("d", "t\nt"), ("d", "u")]
+    df = spark.createDataFrame([(h, t, "clash", 1) for h, t in rows], "host string, text string, clean string, n_lines int")
+    got = sorted((str(r["host"]), r["clean"]["n_lines"], r["clean"]["n_dropped"], r["clean"]["text"][:9]) for r in line_dedup.drop_boilerplate(df, F.col("host"), F.col("text"), 0.3, 2).collect())
+    assert got == [("None", 0, 0, ""), ("None", 0, 0, ""), ("a", 2, 1, "one"), ("a", 2, 1, "two"), ("b", 2, 0, "menu\nalon"[:9]), ("c", 2, 1, "x x x x x"), ("c", 2, 2, ""), ("d", 1, 0, "u"), ("d", 2, 0, "t\nt")]
+    assert line_dedup.drop_boilerplate(df.limit(0), F.col("host"), F.col("text"), 0.3, 2).count() == 0
+
+
 def test_clean_lines_cuts_only_the_boilerplate(spark):
     rows = [(i, f"  def f{i}():\n\n\tshared \n    return {i}\n", "en", "s", 9, 0.0, "f") for i in range(20)]
     for r in line_dedup.clean_lines(None, spark.createDataFrame(rows, DOCS)).collect():
