@@ -8,11 +8,12 @@ from pyspark.sql import functions as F
 from driftwell.llm.store import materialise
 
 #: What HTML text extraction replaces, in this order (pattern, replacement).
+#: Each pattern reads a text once: an element or comment without an end goes on to the text's end, a tag ends before the next.
 HTML_STEPS = (
-    (r"(?is)<(?:script|style)\b[^>]*>.*?</(?:script|style)\s*>", ""),
-    (r"(?s)<!--.*?-->", ""),
-    (r"(?i)</?(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|article|section|header|footer|nav|title|head|body|html|blockquote|pre|main|aside)\b[^>]*>", "\n"),
-    (r"<[^>]*>", ""),
+    (r"(?is)<(?:script|style)\b[^<>]*>.*?(?:</(?:script|style)\s*>|\z)", ""),
+    (r"(?s)<!--.*?(?:-->|\z)", ""),
+    (r"(?i)</?(?:p|div|br|li|ul|ol|tr|td|th|table|h[1-6]|article|section|header|footer|nav|title|head|body|html|blockquote|pre|main|aside)\b[^<>]*>", "\n"),
+    (r"<[^<>]*>", ""),
 )
 HTML_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 HOST = r"^[A-Za-z][A-Za-z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]+)"

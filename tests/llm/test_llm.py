@@ -443,6 +443,16 @@ def test_boilerplate_of_small_hosts_and_odd_pages(spark):
     assert line_dedup.drop_boilerplate(df.limit(0), F.col("host"), F.col("text"), 0.3, 2).count() == 0
 
 
+def test_html_text_reads_unclosed_tags_once(spark):
+    import time
+
+    pages = ["<script>" * 40_000, "<!--" * 40_000, "<" * 100_000, "<div " * 40_000, "<p>a<p>b<script>x", "a <b>c</b><!-- d --> e < f"]
+    began = time.time()
+    got = [r["t"] for r in spark.createDataFrame([(p,) for p in pages], "html string").select(line_dedup.html_text(F.col("html")).alias("t")).collect()]
+    assert time.time() - began < 30
+    assert got[:3] == ["", "", "<" * 100_000] and got[4:] == ["\na\nb", "a c e < f"]
+
+
 def test_clean_lines_cuts_only_the_boilerplate(spark):
     rows = [(i, f"  def f{i}():\n\n\tshared \n    return {i}\n", "en", "s", 9, 0.0, "f") for i in range(20)]
     for r in line_dedup.clean_lines(None, spark.createDataFrame(rows, DOCS)).collect():
