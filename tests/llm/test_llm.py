@@ -1,6 +1,7 @@
 """The training-data operators against SQL, brute force, round trips and held-out accuracy."""
 
 import gzip
+import hashlib
 import itertools
 import json
 import zlib
@@ -273,6 +274,67 @@ def test_toxicity_generalises_to_the_held_out_fold(spark):
     assert got.score.between(0, 1).all()
 
 
+def brute_nnpu(docs, labels):
+    """Scores of every text by the same risk, in plain Python and numpy: a dictionary of counts, gradient by gradient."""
+    import re
+
+    fold = lambda i: zlib.crc32(str(i).encode()) % 4
+    slots = lambda t: {zlib.crc32(p.encode()) % toxicity.SLOTS for w in set(re.findall(r"[^\W\d_]+", t.lower())) for p in [w + "$", *(w[:n] for n in range(4, 9) if len(w) >= n)]}
+    known = {i: t > 0 for i, t in labels if fold(i) != 2}
+    prior = min(0.9, max(1e-4, sum(known.values()) / len(known)))
+    own = {i: slots(t) for i, t in docs}
+    pos = [own[i] for i in sorted(known) if known[i] and i in own]
+    unl = [own[i] for i in sorted(own) if fold(i) != 2]
+    n_p, n_u = len(pos), len(unl)
+    in_p, in_u = Counter(x for s in pos for x in s), Counter(x for s in unl for x in s)
+
+    def g2(a, b):
+        rate = (a + b) / (n_p + n_u)
+        part = lambda x, n: (x * np.log(x / n / rate) if x else 0) + ((n - x) * np.log((n - x) / n / (1 - rate)) if x < n else 0)
+        return np.sign(a / n_p - b / n_u) * 2 * (part(a, n_p) + part(b, n_u)) if rate < 1 else 0.0
+
+    kept = sorted(x for x in in_p | in_u if in_p[x] + in_u[x] >= 4 and g2(in_p[x], in_u[x]) >= 16)
+    matrix = lambda texts: np.array([[x in s for x in kept] for s in texts], dtype=float).reshape(len(texts), len(kept))
+    a, u = matrix(pos), matrix(unl)
+    w, b = np.zeros(len(kept)), np.log(prior / (1 - prior))
+    m, v = np.zeros(len(kept) + 1), np.zeros(len(kept) + 1)
+    sig = lambda z: 1 / (1 + np.exp(-np.clip(z, -30, 30)))
+    for t in range(1, 301):
+        za, zu = a @ w + b, u @ w + b
+        negative = np.logaddexp(0, zu).mean() - prior * np.logaddexp(0, za).mean()
+        ga, gu = (prior * (sig(za) - 1) / n_p - prior * sig(za) / n_p, sig(zu) / n_u) if negative >= 0 else (prior * sig(za) / n_p, -sig(zu) / n_u)
+        grad = np.r_[ga @ a + gu @ u + 1e-4 * w, ga.sum() + gu.sum()]
+        m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
+        step = 0.05 * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.99**t)) + 1e-8)
+        w, b = w - step[:-1], b - step[-1]
+    w = np.where(np.abs(w) > 1e-3, w, 0)
+    return {i: float(sig(matrix([s]) @ w + b)[0]) for i, s in own.items()}
+
+
+def test_op4_equals_brute_force(spark):
+    sf = DATA.replace("0.001", "0.01")
+    docs, labels = pd.read_parquet(f"{sf}/documents.parquet"), pd.read_parquet(f"{sf}/labels.parquet")
+    want = brute_nnpu(list(zip(docs.doc_id, docs.text)), list(zip(labels.doc_id, labels.toxic)))
+    got = registry.queries()["op4_nnpu_toxicity"](spark, sf).toPandas()
+    assert np.allclose(got.score, got.doc_id.map(want), atol=1e-6)
+    assert got.held_out.tolist() == [zlib.crc32(str(i).encode()) % 4 == 2 for i in got.doc_id]
+    assert (got.predicted == (got.score >= 0.3)).all()
+
+
+def test_toxicity_of_long_words_and_repeated_rows(spark):
+    long_ = "a" * 64
+    model = toxicity.PuModel(np.array(sorted(toxicity._slots(long_))), np.ones(len(toxicity._slots(long_))), 0.0)
+    first = model.score(long_ + "bcd"), model.score(long_), model.score(None)
+    again = toxicity.PuModel(np.array(sorted(toxicity._slots(long_))), np.ones(len(toxicity._slots(long_))), 0.0)
+    assert (again.score(long_), again.score(long_ + "bcd"), again.score("")) == (first[1], first[0], first[2])
+    rows = [(1, "bad words", "x")] * 50 + [(2, "good", "y"), (3, "bad bad", "z"), (None, None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, score string")
+    labels = spark.createDataFrame([(1, 1)] * 3 + [(3, 0)], "doc_id long, toxic int")
+    got = toxicity.toxicity(df, labels, "p", positives=1, unlabelled=2).toPandas()
+    assert len(got) == 53 and got.p[got.doc_id == 1].nunique() == 1
+    assert toxicity.toxicity(df.limit(0), labels).count() == 0
+
+
 def test_toxicity_handles_odd_rows(spark):
     df = spark.createDataFrame(ODD, DOCS)
     labels = spark.createDataFrame([(1, 1), (2, None), (None, 1)], "doc_id long, toxic int")
@@ -558,6 +620,80 @@ def test_warc_round_trip(spark):
     assert [bytes(x) for x in warc.records(whole)] == [bytes(x) for x in got.record[:6]]
 
 
+def test_warc_derivatives_equal_an_independent_parser(spark):
+    """Text and metadata against the standard library's HTML parser, on every page."""
+    from html.parser import HTMLParser
+
+    class Page(HTMLParser):
+        def __init__(self):
+            super().__init__(convert_charrefs=True)
+            self.hidden, self.words, self.metas, self.links, self.title, self.in_title = 0, [], [], [], None, False
+
+        def handle_starttag(self, tag, attrs):
+            own = {k: v or "" for k, v in attrs}
+            if tag in ("script", "style", "noscript"):
+                self.hidden += 1
+            if tag == "title" and self.title is None:
+                self.title, self.in_title = "", True
+            if tag == "meta" and own and not self.hidden:
+                self.metas.append(own)
+            if tag in ("a", "img", "link", "script", "iframe") and (own.get("href") or own.get("src")):
+                self.links.append((tag, own.get("href") or own.get("src")))
+            self.words.append(" ")
+
+        handle_startendtag = handle_starttag
+
+        def handle_endtag(self, tag):
+            if tag in ("script", "style", "noscript"):
+                self.hidden -= 1
+            self.in_title = self.in_title and tag != "title"
+
+        def handle_data(self, data):
+            if not self.hidden:
+                self.words.append(data)
+            if self.in_title:
+                self.title += data
+
+    got = registry.queries()["op6_warc_derivatives"](spark, DATA).toPandas()
+    pages = pd.read_parquet(f"{DATA}/pages.parquet").set_index("page_id")
+    for r in got.itertuples():
+        page = Page()
+        page.feed(pages.html[r.page_id])
+        block = warc.parse(r.record)[1].decode()
+        if r.derivative == "conversion":
+            assert "".join(block.split()) == "".join("".join(page.words).split())
+        else:
+            own = json.loads(block)["html"]
+            assert own["title"] == (" ".join(page.title.split()) if page.title is not None else None)
+            assert own["metas"] == page.metas and len(own["links"]) == len(set(page.links))
+            assert all(x["url"].endswith(u.split("/")[-1]) for x, (_, u) in zip(own["links"], dict.fromkeys(page.links)))
+
+
+def test_warc_charsets_clashes_and_empty_tables(spark):
+    body = "<p>caf\xe9".encode("latin-1")
+    rows = [(c, warc.response("http://a/", body, "2024-01-01T00:00:00Z", c, f"text/html; charset={c}"), "clash") for c in ("idna", "undefined", "no-such", "latin-1", "utf-8")]
+    df = spark.createDataFrame(rows, "name string, record binary, date string")
+    got = {(r["name"], r["derivative"]): r for r in warc.derivatives(df, keep=("name", "date")).collect()}
+    assert len(got) == 10 and all(r["date"] == "2024-01-01T00:00:00Z" for r in got.values())
+    assert bytes(warc.parse(bytes(got["latin-1", "conversion"]["record"]))[1]).decode() == "caf\xe9"
+    assert bytes(warc.parse(bytes(got["idna", "conversion"]["record"]))[1]).decode() == "caf\ufffd"
+    empty = warc.derivatives(df.limit(0), keep=("name",))
+    assert empty.count() == 0 and empty.columns[0] == "name"
+    assert list(warc.records(b"")) == []
+    with pytest.raises(ValueError):
+        list(warc.records(b"WARC/1.1\r\nContent-Length: 9\r\n\r\nshort"))
+
+
+def test_warc_reads_broken_pages_once():
+    import time
+
+    began = time.time()
+    for bad in ("<script>" * 20_000, "<!--" * 20_000, "<" * 40_000, "<a " + "b" * 40_000 + ">", "<title>" * 20_000):
+        warc.plain_text(bad)
+        warc.page_metadata("http://a/", bad)
+    assert time.time() - began < 10
+
+
 def test_warc_odd_records(spark):
     rows = [(1, None), (2, b"junk"), (3, warc.record([("WARC-Type", "warcinfo")], b"x")), (4, warc.response("", b"", "2024-01-01T00:00:00Z", "n"))]
     got = warc.derivatives(spark.createDataFrame(rows, "page_id int, record binary"), keep=("page_id",)).collect()
@@ -567,17 +703,118 @@ def test_warc_odd_records(spark):
 # ------------------------------------------------------------------- pipeline
 
 
-def test_pipeline_stages(spark, docs):
+def near_groups(texts):
+    """For each text the first one that links of a Jaccard similarity of 0.8 or more reach, over five-word shingles."""
+    words = [t.encode().lower().split() for t in texts]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set() for w in words]
+    label = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        both = len(sets[i] & sets[j])
+        if (both or not (sets[i] or sets[j])) and 10 * both >= 8 * len(sets[i] | sets[j]):
+            low, high = sorted((label[i], label[j]))
+            label = [low if x == high else x for x in label]
+    return label
+
+
+def brute_mix(docs, share=0.9, epochs=2, seed=3):
+    """The rows of each document, by water filling over nested dictionaries."""
+    domain = lambda s: "web" if (s or "x")[-1] in "0123" else "books" if (s or "x")[-1] in "456" else "news"
+    leaves = defaultdict(list)
+    for i, t, lang, source in docs:
+        leaves[domain(source), lang or "(none)", source or "(none)"].append((i, len((t or "").split())))
+    held = {k: sum(n for _, n in v) for k, v in leaves.items()}
+
+    def fill(budget, caps, weights):
+        out, open_ = {}, dict(caps)
+        while open_:
+            rate = budget / sum(weights[k] for k in open_)
+            full = [k for k in open_ if open_[k] < rate * weights[k]]
+            if not full:
+                return out | {k: min(open_[k], int(np.floor(rate * weights[k]))) for k in open_}
+            for k in full:
+                out[k] = open_.pop(k)
+                budget -= out[k]
+        return out
+
+    budgets = {(): int(np.floor(sum(held.values()) * share))}
+    for depth, level in enumerate(mixing.LEVELS, 1):
+        made = {}
+        for parent, budget in budgets.items():
+            caps = Counter()
+            for k, n in held.items():
+                if k[: depth - 1] == parent:
+                    caps[k[:depth]] += n * epochs
+            made |= fill(budget, caps, {k: mixing.WEIGHTS[level].get(k[-1], 1) for k in caps})
+        budgets = made
+    out = Counter()
+    for leaf, rows in leaves.items():
+        whole, rest = divmod(budgets[leaf], held[leaf]) if held[leaf] else (0, 0)
+        turn = sorted(rows, key=lambda r: hashlib.md5(f"{seed}|{whole}|{r[0]}".encode()).hexdigest())
+        sofar = 0
+        for i, n in turn:
+            sofar += n
+            out[i] += whole + (sofar <= rest and held[leaf] > rest)
+    return +out
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on what the one before kept, and run() as a whole, against plain Python, with planted rows."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    sf = DATA.replace("0.001", "0.01")
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "mixing", "best-fit packing"]
-    held = spark.read.parquet(f"{DATA}/documents.parquet")
-    for name, stage in corpus_pipeline.STAGES[:-1]:
-        after = stage(spark, held, DATA)
-        assert after.columns == held.columns
-        if name == "simhash near-dedup":
-            codes = [int(simhash.fingerprint(r["text"], 5, 256), 16) for r in after.collect()]
-            assert all((a ^ b).bit_count() > 25 for a, b in itertools.combinations(codes, 2))
-    got = corpus_pipeline.run(spark, DATA).toPandas()
-    assert set(got.doc_id) <= set(docs.doc_id) and got.groupby("sequence_id").length.sum().max() <= 2048
+    stages = dict(corpus_pipeline.STAGES)
+    source = spark.read.parquet(f"{sf}/documents.parquet")
+    labels = pd.read_parquet(f"{sf}/labels.parquet")
+    docs = source.toPandas()
+    scores = brute_nnpu(list(zip(docs.doc_id, docs.text)), list(zip(labels.doc_id, labels.toxic)))
+    clean = stages["toxicity"](spark, source, sf)
+    assert clean.columns == source.columns
+    assert sorted(r["doc_id"] for r in clean.select("doc_id").collect()) == [i for i in docs.doc_id if scores[i] < 0.3]
+
+    kept = docs[docs.doc_id.map(scores) < 0.3].copy()
+    lines = lambda t: [x.strip() for x in t.split("\n")]
+    pages, on = Counter(kept.source), Counter((s, x) for s, t in zip(kept.source, kept.text) for x in {*lines(t)} - {""})
+    lost = {k for k, n in on.items() if pages[k[0]] >= 20 and n >= 2 and n / pages[k[0]] > 0.1}
+
+    def cut(s, t):
+        own = [x for x in lines(t) if x]
+        gone = sum((s, x) in lost for x in own)
+        return "\n".join(x for x in t.split("\n") if (s, x.strip()) not in lost) if 0 < gone < len(own) else t
+
+    kept["text"] = [cut(s, t) for s, t in zip(kept.source, kept.text)]
+    without = stages["line dedup"](spark, clean, sf)
+    assert {r["doc_id"]: r["text"] for r in without.collect()} == dict(zip(kept.doc_id, kept.text))
+
+    kept = kept.sort_values("doc_id").reset_index(drop=True)
+    label = near_groups(kept.text.tolist())
+    kept = kept[[i == x for i, x in enumerate(label)]]
+    near = stages["simhash near-dedup"](spark, without, sf)
+    assert near.columns == source.columns and sorted(r["doc_id"] for r in near.select("doc_id").collect()) == kept.doc_id.tolist()
+
+    mixed = stages["mixing"](spark, near, sf)
+    want = brute_mix(list(zip(kept.doc_id, kept.text, kept.lang, kept.source)))
+    assert Counter(r["doc_id"] for r in mixed.select("doc_id").collect()) == want
+
+    bpe = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    size = {i: len(bpe.encode(t, add_special_tokens=False).ids) + 1 for i, t in zip(kept.doc_id, kept.text) if i in want}
+    got = corpus_pipeline.run(spark, sf).toPandas()
+    assert got.groupby("doc_id").length.sum().to_dict() == {i: size[i] * n for i, n in want.items()}
+    seq = got.sort_values(["sequence_id", "offset"])
+    assert (seq.offset == seq.groupby("sequence_id").length.cumsum() - seq.length).all()
+    assert seq.groupby("sequence_id").length.sum().max() <= 2048 and got.least_sequences.iloc[0] <= got.sequence_id.nunique()
+
+
+def test_pipeline_stages_handle_odd_rows(spark, tmp_path):
+    df = spark.createDataFrame(ODD, DOCS)
+    spark.createDataFrame([(1, 0)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    for rows in (df, df.limit(0)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, str(tmp_path))
+            if name != "best-fit packing":
+                assert out.columns == df.columns
+            out.collect()
 
 
 def test_keep_one_equals_exact_jaccard(spark):
