@@ -12,7 +12,7 @@ from driftwell.llm.line_dedup import clean_lines
 from driftwell.llm.mixing import mix_documents
 from driftwell.llm.packing import pack_documents
 from driftwell.llm.near_links import keep_one
-from driftwell.llm.store import materialise
+from driftwell.llm.store import discard, materialise
 from driftwell.llm.toxicity import drop_toxic
 
 
@@ -47,8 +47,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over documents, each written to the shared folder and read again; what a stage has read is deleted then."""
+    docs = source = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        before, docs = docs, materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not source:
+            discard(before)
     return docs
