@@ -4,9 +4,9 @@ from __future__ import annotations
 
 
 def _modules():
-    from driftwell.plans import cohort_queries, feature_queries, group_queries, ml_queries, prep_queries, relation_queries, sequence_queries, text_queries
+    from driftwell.plans import cohort_more_queries, cohort_queries, feature_queries, group_queries, ml_queries, prep_queries, relation_queries, sequence_queries, text_queries
 
-    return feature_queries, cohort_queries, relation_queries, text_queries, prep_queries, sequence_queries, group_queries, ml_queries
+    return feature_queries, cohort_queries, relation_queries, text_queries, prep_queries, sequence_queries, group_queries, ml_queries, cohort_more_queries
 
 
 def queries() -> dict:
