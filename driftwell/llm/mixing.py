@@ -80,9 +80,11 @@ def mix(docs: DataFrame, domain: Column, tokens: Column, share: float = 0.6, max
     Zero-token documents belong to the prefix that reaches their place.  An empty
     table gives an empty table.
 
-    Prefixes are found in 4,096 ranges of the order, of which one a leaf is
-    ranked row by row, so a leaf of a third of all rows is no hot task; texts
-    are never shuffled if the table of leaves is below the broadcast threshold.
+    Prefixes are found in 256 ranges of the order, then in 256 of the range
+    where the prefix ends, of which one a leaf is ranked row by row, so a leaf of
+    a third of all rows is no hot task; texts are never shuffled if the table of
+    leaves is below the broadcast threshold.  Columns of ``docs`` may have any
+    names.
     """
     weights = WEIGHTS if weights is None else weights
     names = docs.columns
@@ -96,12 +98,18 @@ def mix(docs: DataFrame, domain: Column, tokens: Column, share: float = 0.6, max
     plan = materialise(plan.select(*LEVELS, "epochs", "rest"), "budgets")
 
     turn = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("epochs").cast("string"), F.col("key")).cast("binary"))
-    ordered = slim.join(plan, list(LEVELS)).withColumn("turn", turn).withColumn("range", F.substring("turn", 1, 3))
-    ranges = ordered.groupBy(*LEVELS, "rest", "range").agg(F.sum("tokens").alias("own"))
-    upto = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    cut = ranges.withColumn("upto", F.sum("own").over(upto)).where(F.col("upto") > F.col("rest"))
-    cut = cut.groupBy(*LEVELS).agg(F.min(F.struct("range", (F.col("upto") - F.col("own")).alias("before"))).alias("cut"))
-    cut = materialise(cut.select(*LEVELS, F.col("cut.range").alias("range"), F.col("cut.before").alias("before")), "cuts")
+    ordered = slim.join(plan, list(LEVELS)).withColumn("turn", turn)
+    cut = None  # the range of each leaf's order where its rest ends, and the tokens before it
+    for digits in (2, 4):
+        inside = ordered.withColumn("before", F.lit(0).cast("long"))
+        if cut is not None:
+            inside = ordered.withColumn("range", F.substring("turn", 1, digits - 2)).join(cut, [*LEVELS, "range"]).drop("range")
+        ranges = inside.groupBy(*LEVELS, "rest", "before", F.substring("turn", 1, digits).alias("range")).agg(F.sum("tokens").alias("own"))
+        upto = Window.partitionBy(*LEVELS).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
+        ranges = ranges.withColumn("upto", F.col("before") + F.sum("own").over(upto)).where(F.col("upto") > F.col("rest"))
+        first = ranges.groupBy(*LEVELS).agg(F.min(F.struct("range", (F.col("upto") - F.col("own")).alias("before"))).alias("cut"))
+        cut = materialise(first.select(*LEVELS, F.col("cut.range").alias("range"), F.col("cut.before").alias("before")), "cuts")
+    ordered = ordered.withColumn("range", F.substring("turn", 1, 4))
     inside = ordered.join(cut, [*LEVELS, "range"])
     sofar = Window.partitionBy(*LEVELS).orderBy("turn").rangeBetween(Window.unboundedPreceding, 0)
     last = inside.withColumn("sofar", F.col("before") + F.sum("tokens").over(sofar)).where(F.col("sofar") <= F.col("rest"))
