@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -49,19 +50,36 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return written(df.sparkSession, path, df.schema)
 
 
+_written: list[tuple[SparkSession, str]] = []
+
+
+@atexit.register
+def clean() -> None:
+    """Delete all that this session has written and not discarded.  It runs at the end of the
+    driver, for tables that results are read from until then; call it once they are stored."""
+    while _written:
+        spark, path = _written.pop()
+        try:
+            if spark.sparkContext._jsc is not None:
+                _delete(spark, path)
+        except (Py4JError, OSError):  # the JVM has ended before
+            return
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def written(spark: SparkSession, path: str, schema) -> DataFrame:
     """The table that was written to ``path``, as ``materialise`` gives it."""
     out = spark.read.schema(schema).parquet(path)
     out._driftwell_path = path
+    _written.append((spark, path))
     return out
 
 
 def discard(df: DataFrame) -> None:
     """Delete what ``materialise`` wrote for ``df``, once nothing will read it."""
-    spark, path = df.sparkSession, df._driftwell_path
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    _written[:] = [x for x in _written if x[1] != df._driftwell_path]
+    _delete(df.sparkSession, df._driftwell_path)

@@ -833,3 +833,52 @@ def test_keep_one_equals_exact_jaccard(spark):
     rows = [(i, t, "en", "s", 1, 0.0, "f") for i, t in enumerate(texts)]
     got = near_links.keep_one(spark, spark.createDataFrame(rows, DOCS))
     assert sorted(r["doc_id"] for r in got.collect()) == sorted(set(label))
+
+
+# -------------------------------------------------------------------- the store
+
+
+def test_written_tables_are_deleted(spark, tmp_path):
+    import pathlib
+
+    from driftwell.llm import store
+
+    one, two = store.materialise(spark.range(3), "one"), store.materialise(spark.range(4), "two")
+    paths = [pathlib.Path(x._driftwell_path.removeprefix("file:")) for x in (one, two)]
+    assert (one.count(), two.count()) == (3, 4) and all(p.exists() for p in paths)
+    store.discard(one)
+    assert [p.exists() for p in paths] == [False, True] and (spark, two._driftwell_path) in store._written
+    kept = store._written[:]
+    store._written[:] = [x for x in kept if x[1] == two._driftwell_path]
+    store.clean()
+    store._written[:] = [x for x in kept if x[1] != two._driftwell_path]
+    assert not paths[1].exists()
+
+
+def test_clashing_names_and_repeated_rows(spark):
+    """Inner columns never meet those of a table: every name that an operator uses stands in its input, twice the same rows."""
+    names = ["sequence_id", "offset", "least_sequences", "proven", "piece", "start", "length", "block", "word", "gram", "train", "row", "text_", "epoch", "domain", "tokens", "labels", "score", "component_id"]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, " + ", ".join(f"{n} int" for n in names)
+    rows = [(i, f"words of text {i} " * 6, "en", "s1", 9, *range(len(names))) for i in range(6)] * 2
+    df = spark.createDataFrame(rows, schema)
+    labels = spark.createDataFrame([(1, 0)], "doc_id long, toxic int")
+    assert packing.pack_documents(df).count() == 12
+    assert ppm.score_corpus(df, F.col("doc_id") > 0).count() == 12
+    assert licences.license_scan(df).count() == 12
+    assert near_links.keep_one(spark, df).count() == 6 and near_links.keep_one(spark, df).columns == df.columns
+    assert mixing.mix_documents(spark, df, share=1.0).count() == 12
+    assert corpus_pipeline.drop_toxic(spark, df, labels).columns == df.columns
+    assert line_dedup.clean_lines(spark, df).columns == df.columns
+    assert simhash.near_duplicates(df).groupBy("group_fingerprint").count().count() == 6
+
+
+def test_near_duplicates_are_exact_at_any_limit(spark):
+    rng = np.random.default_rng(8)
+    texts = [" ".join(f"w{x}" for x in rng.integers(0, 60, 12)) for _ in range(40)]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    codes = [int(simhash.fingerprint(t, 2, 64), 16) for t in texts]
+    for limit in (3, 9):
+        got = {r["doc_id"]: r["group_fingerprint"] for r in simhash.near_duplicates(df, shingle=2, max_diff=limit).collect()}
+        label = brute_groups(codes, limit)
+        assert len(set(got.values())) == len(set(label))
+        assert all((got[i] == got[j]) == (label[i] == label[j]) for i in range(40) for j in range(i))
