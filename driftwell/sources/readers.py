@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import logging
 import re
+import uuid
 from collections.abc import Iterable
+from concurrent.futures import Future, ThreadPoolExecutor
 from datetime import date
 from numbers import Number
 
@@ -45,7 +47,7 @@ class Catalog:
     """Folders of tables as views, and reading queries over them, kept by their text if asked."""
 
     def __init__(self, spark: SparkSession):
-        self.spark, self.kept = spark, {}
+        self.spark, self.kept, self.pool = spark, {}, ThreadPoolExecutor(4)
 
     def register(self, folder: str, names: list[str]) -> Catalog:
         for name in names:
@@ -66,6 +68,27 @@ class Catalog:
         return df
 
 
+    def submit(self, sql: str, params: dict | None = None) -> Future:
+        """Start a reading statement; ``result()`` of what it gives waits for its rows, a cached table.
+        It runs in a thread of its own, as a job group that ``stop`` can end."""
+        df = self.query(sql, params)
+
+        def run() -> DataFrame:
+            self.spark.sparkContext.setJobGroup(name, sql[:80], True)
+            out = df.cache()
+            out.count()
+            return out
+
+        name = f"driftwell-{uuid.uuid4().hex}"
+        future = self.pool.submit(run)
+        future.job_group = name
+        return future
+
+    def stop(self, future: Future) -> None:
+        future.cancel()
+        self.spark.sparkContext.cancelJobGroup(future.job_group)
+
+
 def format_of(path: str) -> str:
     for ending in sorted(FORMATS, key=len, reverse=True):
         if path.rstrip("/").endswith(ending):

@@ -227,3 +227,30 @@ def test_vector_index_round_trip(spark, tmp_path):
     chunks.limit(1).write.mode("overwrite").parquet(str(tmp_path / "index/chunks"))
     with pytest.raises(ValueError):
         K.load_index(spark, str(tmp_path / "index"))
+
+
+def test_submitted_queries_give_their_rows(spark):
+    from conftest import DATA
+
+    from driftwell.sources.readers import Catalog
+
+    catalog = Catalog(spark).register(DATA, ["nation"])
+    one, two = catalog.submit("SELECT count(*) AS n FROM nation"), catalog.submit("SELECT n_name FROM nation WHERE n_nationkey < :k", {"k": 3})
+    assert one.result(120).first()["n"] == 25 and two.result(120).count() == 3
+    with pytest.raises(ValueError):
+        catalog.submit("DELETE FROM nation")
+    catalog.stop(catalog.submit("SELECT 1 AS x"))
+
+
+def test_tumbling_stream_equals_batch(spark, tmp_path):
+    from conftest import DATA
+
+    from driftwell.streaming.windows import once, tumbling
+
+    events = spark.read.parquet(f"{DATA}/events.parquet")
+    events.unionByName(events.limit(50)).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema(events.schema).parquet(str(tmp_path / "in"))
+    q = tumbling(once(stream), late=None).writeStream.format("memory").queryName("windows").outputMode("complete").trigger(availableNow=True).start()
+    q.awaitTermination()
+    key = lambda r: (r["start"], r["event_type"], r["n"], round(r["value"], 6))
+    assert sorted(map(key, spark.table("windows").collect())) == sorted(map(key, tumbling(events).collect()))
