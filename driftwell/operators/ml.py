@@ -197,6 +197,62 @@ def chi2_tail(x: float, free: float) -> float:
     return max(0.0, 1 - total * exp(-z + a * log(z) - lgamma(a)))
 
 
+def _normal(x: np.ndarray) -> np.ndarray:
+    """The normal distribution function, by a fine table of its integral."""
+    return np.interp(x, _GRID, _BELOW, left=0.0, right=1.0)
+
+
+_GRID = np.linspace(-9, 9, 36_001)
+_BELOW = np.concatenate([[0.0], np.cumsum((np.exp(-(_GRID[1:] ** 2) / 2) + np.exp(-(_GRID[:-1] ** 2) / 2)) / 2)]) * (_GRID[1] - _GRID[0]) / sqrt(2 * np.pi)
+
+
+def range_tail(q: float, groups: int, free: float) -> float:
+    """The probability of a studentized range of ``q`` or more."""
+    z = np.linspace(-8, 8, 801)
+    density = np.exp(-(z**2) / 2) / sqrt(2 * np.pi)
+    low, high = (max(1e-6, 1 - 9 / sqrt(2 * free)), 1 + 9 / sqrt(2 * free) + 3 / free) if free < 1e5 else (1.0, 1.0)
+    s = np.linspace(low, high, 401)
+    inner = np.array([groups * np.trapezoid(density * (_normal(z) - _normal(z - q * x)) ** (groups - 1), z) for x in s])
+    if low == high:
+        return float(1 - inner[0])
+    weight = np.exp(free / 2 * log(free) - lgamma(free / 2) - (free / 2 - 1) * log(2) + (free - 1) * np.log(s) - free * s**2 / 2)
+    return float(min(1.0, max(0.0, 1 - np.trapezoid(weight * inner, s) / np.trapezoid(weight, s))))
+
+
+def anova_test(df: DataFrame, group: str, value: str) -> tuple[float, float]:
+    """One-way F and its probability, from the groups' sums."""
+    g = _groups(df, group, value)
+    n, k = g.n.sum(), len(g)
+    between, within = (g.n * (g["mean"] - (g.n * g["mean"]).sum() / n) ** 2).sum(), (g["var"] * (g.n - 1)).sum()
+    f = float(between / (k - 1) / (within / (n - k)))
+    return f, f_tail(f, k - 1, n - k)
+
+
+def _groups(df: DataFrame, group: str, value: str) -> pd.DataFrame:
+    """(group, n, mean, var) of the groups of two values or more: a row for each group."""
+    own = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("group")).agg(F.count("*").alias("n"), F.avg(value).alias("mean"), F.var_samp(value).alias("var"))
+    return pd.DataFrame([r.asDict() for r in own.where("n > 1").orderBy("group").collect()], columns=["group", "n", "mean", "var"])
+
+
+def post_hoc(df: DataFrame, group: str, value: str) -> pd.DataFrame:
+    """(a, b, diff, p_tukey, p_games_howell, p_sidak) of each pair of groups.
+
+    Tukey's and Sidak's pool the variances, Sidak's are t-tests corrected for the number of pairs; Games and Howell's take each pair's own."""
+    g = _groups(df, group, value)
+    n, k = int(g.n.sum()), len(g)
+    pooled, pairs = float((g["var"] * (g.n - 1)).sum() / (n - k)) if n > k else float("nan"), k * (k - 1) // 2
+    out = []
+    for i in range(k):
+        for j in range(i + 1, k):
+            a, b = g.iloc[i], g.iloc[j]
+            diff = float(a["mean"] - b["mean"])
+            spread = sqrt(pooled * (1 / a.n + 1 / b.n))
+            va, vb = a["var"] / a.n, b["var"] / b.n
+            free = float((va + vb) ** 2 / (va**2 / (a.n - 1) + vb**2 / (b.n - 1)))
+            out.append((a["group"], b["group"], diff, range_tail(abs(diff) / spread * sqrt(2), k, n - k), range_tail(abs(diff) / sqrt((va + vb) / 2), k, free), 1 - (1 - t_tails(diff / spread, n - k)) ** pairs))
+    return pd.DataFrame(out, columns=["a", "b", "diff", "p_tukey", "p_games_howell", "p_sidak"])
+
+
 def correlation_tests(df: DataFrame, columns: list[str], without_zeros: bool = False) -> pd.DataFrame:
     """(a, b, r, n, p) of each pair of columns over the rows that have both (and no 0, if asked); p is two-sided."""
     fine = lambda a, b: F.col(a).isNotNull() & F.col(b).isNotNull() & ((F.col(a) != 0) & (F.col(b) != 0) if without_zeros else F.lit(True))

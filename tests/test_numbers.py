@@ -27,6 +27,24 @@ def test_tails_of_distributions():
     assert [L.stars(p) for p in (0.0001, 0.005, 0.03, 0.2)] == ["***", "**", "*", ""]
 
 
+def test_studentized_range_and_post_hoc(spark):
+    for q, groups, free in ((3.877, 3, 10), (4.232, 5, 20), (3.314, 3, 1e6), (5.270, 3, 10)):
+        want = 0.01 if q > 5 else 0.05
+        assert L.range_tail(q, groups, free) == pytest.approx(want, abs=0.0003)
+    assert L.range_tail(2.0 * 2**0.5, 2, 10) == pytest.approx(L.t_tails(2.0, 10), abs=1e-5)  # two groups: a t-test
+    rng = np.random.default_rng(4)
+    x = {"a": rng.normal(0, 1, 40), "b": rng.normal(0.2, 1, 30), "c": rng.normal(2, 3, 50)}
+    df = spark.createDataFrame([(k, float(v)) for k, vs in x.items() for v in vs] + [("d", 1.0), ("a", None)], "g string, x double")
+    got = L.post_hoc(df, "g", "x").set_index(["a", "b"])
+    assert len(got) == 3 and got.loc[("a", "c"), "p_games_howell"] < 0.01 and got.loc[("a", "b"), "p_tukey"] > 0.3
+    pooled = sum((v - v.mean()) @ (v - v.mean()) for v in x.values()) / 117
+    t = (x["a"].mean() - x["b"].mean()) / (pooled * (1 / 40 + 1 / 30)) ** 0.5
+    assert got.loc[("a", "b"), "p_sidak"] == pytest.approx(1 - (1 - L.t_tails(t, 117)) ** 3)
+    f, p = L.anova_test(df, "g", "x")
+    between = sum(len(v) * (v.mean() - np.concatenate(list(x.values())).mean()) ** 2 for v in x.values()) / 2
+    assert f == pytest.approx(between / pooled) and p == pytest.approx(L.f_tail(f, 2, 117))
+
+
 def test_correlation_tests_leave_out_zeros(spark):
     rng = np.random.default_rng(2)
     x = rng.normal(size=50)
