@@ -80,8 +80,9 @@ def drop_boilerplate(df: DataFrame, host: Column, text: Column, ratio: float, le
 
 def op10_site_line_dedup(spark, sf_dir: str) -> DataFrame:
     """The pages' texts without the lines that over 0.3 of a host's pages hold, two of them at least."""
-    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", "url", "html")
-    return drop_boilerplate(pages, host_of(F.col("url")), html_text(F.col("html")), 0.3, 2).select("page_id", "clean.*")
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet").select("page_id", host_of(F.col("url")).alias("host"), html_text(F.col("html")).alias("text"))
+    texts = materialise(pages, "page-texts")  # HTML is read once; lines are counted and cut from its text
+    return drop_boilerplate(texts, F.col("host"), F.col("text"), 0.3, 2).select("page_id", "clean.*")
 
 
 def clean_lines(spark, docs: DataFrame, ratio: float = 0.1, least_pages: int = 20) -> DataFrame:
