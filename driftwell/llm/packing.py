@@ -11,7 +11,9 @@ from __future__ import annotations
 import hashlib
 import json
 import re
+import sys
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -46,6 +48,7 @@ class Encoder:
         special = {t["content"] for t in spec["added_tokens"]}
         ranks = {bytes(map(shown.__getitem__, t)): i for t, i in spec["model"]["vocab"].items() if t not in special}
         self.bpe = tiktoken.Encoding("own", pat_str=BYTE_LEVEL_PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.merge = self.bpe._core_bpe.encode_ordinary
         self.memory: dict[str, bytes] = {}
         self.apart = re.compile(r"\s ").search
         self.added = {t["content"]: np.array([t["id"]], dtype="<u4").tobytes() for t in spec["added_tokens"]}
@@ -60,7 +63,13 @@ class Encoder:
         return cls.held[path]
 
     def whole(self, text: str) -> bytes:
-        return np.array(self.bpe.encode_ordinary(text), dtype="<u4").tobytes()
+        try:
+            ids = array("I", self.merge(text))
+        except UnicodeEncodeError:  # lone surrogates
+            ids = array("I", self.bpe.encode_ordinary(text))
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes()
 
     def ids(self, text: str) -> bytes:
         """The split pattern never joins what a space parts, if no white space precedes
