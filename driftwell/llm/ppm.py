@@ -31,6 +31,8 @@ ORDER = 5
 SPAN = ORDER + 1
 #: Characters of a block, and bytes that are counted and scored at once.
 BLOCK_CHARS, CHUNK, SCORED = 16_000_000, 1_500_000, 500_000
+#: Rows of one id and text, beyond which they are counted and scored as one.
+COPIES = 1_000
 PAD, GAP, END = b"\t", b" ", b"\n"  # white space never stands in a word
 BYTES = 256
 #: Groups that the trie is cut into, by the last two bytes of the contexts; the result doesn't hang on it.
@@ -185,30 +187,48 @@ class Trie:
 # --------------------------------------------------------------------- queries
 
 
-def _packed(docs: DataFrame, id_col: str, text_col: str, train: Column, blocks: int) -> DataFrame:
-    """(block, id, train, blob): the words of each text, compressed for the shuffle."""
+def _once(docs: DataFrame) -> tuple[DataFrame, bool]:
+    """``docs`` (id, text, train) with ``times``, and whether any row is repeated.
+
+    Rows of one id and text that come over ``COPIES`` times are one row, combined
+    before they are shuffled, so that they don't fill a block; others stay as they are."""
+    key = F.xxhash64("id", "text")
+    many = materialise(docs.groupBy(key.alias("key")).agg(F.count("*").alias("n")).where(F.col("n") > COPIES).select("key"), "copies")
+    n = many.count()
+    if not n:
+        return docs.withColumn("times", F.lit(1).cast("long")), False
+    if n <= 500_000:
+        many = F.broadcast(many)
+    keyed = docs.withColumn("key", key)
+    alone = keyed.join(many, "key", "left_anti").select("id", "text", "train", F.lit(1).cast("long").alias("times"))
+    copied = keyed.join(many, "key", "left_semi").groupBy("id", "text", "train").agg(F.count("*").alias("times"))
+    return alone.unionByName(copied), True
+
+
+def _packed(docs: DataFrame, blocks: int) -> DataFrame:
+    """(block, id, train, times, blob): the words of each text, compressed for the shuffle."""
 
     @F.pandas_udf("binary")
     def pack(texts: pd.Series) -> pd.Series:
         press = zstandard.ZstdCompressor(level=1)
         return pd.Series([press.compress(b" ".join(words_of(t))) for t in texts], dtype=object)
 
-    block = F.pmod(F.xxhash64(F.col(id_col), F.col(text_col)), F.lit(blocks)).cast("int")
-    return docs.select(block.alias("block"), F.col(id_col).alias("id"), F.coalesce(train, F.lit(True)).alias("train"), pack(F.col(text_col)).alias("blob"))
+    block = F.pmod(F.xxhash64("id", "text"), F.lit(blocks)).cast("int")
+    return docs.select(block.alias("block"), "id", "train", "times", pack("text").alias("blob"))
 
 
 def _gather(block: pa.Table) -> pa.Table:
     """A block's distinct words and grams, and how often its training texts have them."""
     trim()
-    train = block.column("train").to_numpy()
+    weight = block.column("times").to_numpy() * block.column("train").to_numpy()
     counted = []
     found = [np.zeros(0, dtype=np.int64)] * 2
-    for flag in (True, False):
-        for texts in _chunks(block.column("blob").filter(pa.array(train == flag)), CHUNK):
+    for w in np.unique(weight):  # 0 for texts that are only scored, mostly 1 for the others
+        for texts in _chunks(block.column("blob").filter(pa.array(weight == w)), CHUNK):
             each = _split(texts)[0].value_counts()
-            counted.append(pa.table({"word": each.field("values"), "n": each.field("counts") if flag else pa.array(np.zeros(len(each), dtype=np.int64))}))
+            counted.append(pa.table({"word": each.field("values"), "n": pa.array(each.field("counts").to_numpy() * w)}))
             keys, n = np.unique(grams(b"".join(map(_coded, texts))), return_counts=True)
-            found = list(_sum(np.r_[found[0], keys], np.r_[found[1], n * flag]))
+            found = list(_sum(np.r_[found[0], keys], np.r_[found[1], n * w]))
     words = pa.concat_tables(counted).group_by("word", use_threads=False).aggregate([("n", "sum")])
     n = np.r_[words.column("n_sum").to_numpy(), found[1]]
     own = np.r_[np.full(len(words), -1), found[0]]
@@ -245,7 +265,7 @@ def _score(block: pa.Table, slices: pa.Table) -> pa.Table:
         score.append(np.add.reduceat(each, np.cumsum(size) - size))
     columns = (np.concatenate(x) for x in (count, known, base, score))
     names = (("words", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("score", pa.float64()))
-    return pa.table({"id": block.column("id")} | {k: pa.array(c, t) for (k, t), c in zip(names, columns)})
+    return pa.table({"id": block.column("id"), "times": block.column("times")} | {k: pa.array(c, t) for (k, t), c in zip(names, columns)})
 
 
 def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -260,7 +280,8 @@ def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_co
     size = docs.agg(F.sum(F.length(text_col)).alias("n")).first()["n"] or 0
     blocks = max(1, -(-size // BLOCK_CHARS))
     kind = docs.select(id_col).schema[0].dataType.simpleString()
-    packed = _packed(docs.select(id_col, text_col, train.alias("__train")), id_col, text_col, F.col("__train"), blocks)
+    rows, copied = _once(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.coalesce(train, F.lit(True)).alias("train")))
+    packed = _packed(rows, blocks)
     counted = materialise(packed.groupBy("block").applyInArrow(_gather, "block int, word binary, gram long, n long"), "counts")
     own_words, own_grams = counted.where("gram < 0"), counted.where("gram >= 0")
 
@@ -299,7 +320,9 @@ def score_corpus(docs: DataFrame, train: Column, id_col: str = "doc_id", text_co
     back = own_grams.select("block", "gram").join(lengths, "gram").select("block", F.lit(None).cast("binary").alias("word"), "gram", "value")
     slices = back.unionByName(words.select("block", "word", F.lit(-1).cast("long").alias("gram"), F.col("value").cast("double").alias("value")))
 
-    scored = packed.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(_score, f"id {kind}, words long, known long, logs double, score double")
+    scored = packed.groupBy("block").cogroup(slices.groupBy("block")).applyInArrow(_score, f"id {kind}, times long, words long, known long, logs double, score double")
+    if copied:
+        scored = scored.withColumn("one", F.explode(F.expr("sequence(1L, times)")))
     end_known, end_log = int(ends > 0), float(np.log10(ends + 1))
     down = float(np.log10(tokens + kinds + 1))
     return scored.select(

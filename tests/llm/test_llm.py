@@ -254,6 +254,15 @@ def test_code_lengths_are_a_distribution():
         assert (10 ** trie.code_lengths(every, escapes)).sum() == pytest.approx(1)
 
 
+def test_scoring_of_many_copies_is_as_row_by_row(spark, monkeypatch):
+    rows = [(1, "the cat sat")] * 40 + [(2, "the cat sat")] * 3 + [(3, "a dog ran to the cat")] * 30 + [(4, None)] * 25 + [(None, "x")] * 2
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    key = lambda r: tuple(str(x) if isinstance(x, float) is False else round(x, 9) for x in r)
+    want = sorted(map(key, ppm.score_corpus(df, F.col("doc_id") != 3).collect()), key=str)
+    monkeypatch.setattr(ppm, "COPIES", 10)
+    assert sorted(map(key, ppm.score_corpus(df, F.col("doc_id") != 3).collect()), key=str) == want and len(want) == 100
+
+
 def test_scoring_handles_odd_rows(spark):
     df = spark.createDataFrame(ODD, DOCS)
     got = ppm.score_corpus(df, F.col("doc_id") != 4).toPandas()
