@@ -14,6 +14,16 @@ def ratio(top, bottom) -> Column:
     return top / F.nullif(bottom.cast("double"), F.lit(0.0))
 
 
+def exact_mean(top: str, bottom: str) -> Column:
+    """The mean of top - bottom over a group, summed in decimals so that neither order nor rounding counts;
+    a group with a value that isn't one of at most 10 places is averaged in doubles."""
+    a, b = (F.col(x).try_cast("decimal(28,10)") for x in (top, bottom))
+    apart = F.col(top) - F.col(bottom)
+    whole = F.bool_and(F.when(apart.isNotNull(), F.coalesce((a.cast("double") == F.col(top)) & (b.cast("double") == F.col(bottom)), F.lit(False))))
+    summed = F.try_sum(F.when(apart.isNotNull(), a - b)).cast("double") / F.count(apart)
+    return F.when(whole, F.coalesce(summed, F.avg(apart))).otherwise(F.avg(apart))
+
+
 def band(value: Column, edges: list[tuple[float, str]], other: str) -> Column:
     """The first label whose edge is at or above ``value``; null and larger ones are ``other``."""
     out = F.lit(other)

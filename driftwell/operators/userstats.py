@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.functions.columns import band, period_start, ratio
+from driftwell.functions.columns import band, exact_mean, period_start, ratio
 from driftwell.operators.islands import running, running_group
 
 #: Bands of fish values.
@@ -60,6 +60,7 @@ def shooter_user_stats(bullets: DataFrame, grain: str) -> DataFrame:
     """A row for each period and user that killed: counts by fish band, profit spread, rooms and the day's group."""
     fish = band(F.col("fish_value"), FISH_BANDS, "ultra")
     profit = F.col("payout") - F.col("bet")
+    mean = exact_mean("payout", "bet")  # profits cancel out, so that rounded sums are off or not quite 0
     rows = bullets.withColumn("activity_date", period_start(F.col("event_timestamp"), grain)).withColumn("fish", fish).withColumn("profit", profit)
     bands = [label for _, label in FISH_BANDS] + ["ultra"]
     return rows.groupBy("activity_date", "user_id").agg(
@@ -69,7 +70,7 @@ def shooter_user_stats(bullets: DataFrame, grain: str) -> DataFrame:
         F.sum("payout").alias("total_payout"),
         F.sum("killed").cast("long").alias("kills"),
         F.count_distinct("user_id", "room_id").alias("rooms"),
-        ratio(F.stddev_samp("profit"), F.abs(F.avg("profit"))).alias("profit_cv"),
+        ratio(F.stddev_samp("profit"), F.abs(mean)).alias("profit_cv"),
         *(F.count(F.when(F.col("fish") == b, 1)).alias(f"bullets_{b}") for b in bands),
         F.max("killed").alias("any_kill"),
     ).where("any_kill > 0").drop("any_kill")

@@ -1,4 +1,6 @@
+import math
 from datetime import date, datetime
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -7,6 +9,7 @@ from driftwell.functions import columns as C
 from driftwell.operators import features as P
 from driftwell.operators import joins as J
 from driftwell.operators import retrieval as R
+from driftwell.operators import userstats as U
 from driftwell.sources import incremental as I
 from driftwell.streaming.sessions import session_counts
 
@@ -254,3 +257,18 @@ def test_tumbling_stream_equals_batch(spark, tmp_path):
     q.awaitTermination()
     key = lambda r: (r["start"], r["event_type"], r["n"], round(r["value"], 6))
     assert sorted(map(key, spark.table("windows").collect())) == sorted(map(key, tumbling(events).collect()))
+
+
+def test_profit_spread_is_not_rounding(spark):
+    schema = "user_id long, event_timestamp timestamp, room_id long, strategy_name string, bet double, payout double, fish_value long, killed int"
+    at = datetime(2024, 1, 3)
+    pairs = {1: [(0.1, 0.0), (0.2, 0.0), (0.0, 0.3)], 2: [(0.1, 0.0), (0.7, 0.0), (0.0, 0.81)] * 40, 3: [(1e-13, 3e-13), (0.0, 2e-13)], 4: [(None, 1.0), (1.0, 3.0), (1.0, 5.0)]}
+    rows = [(u, at, 1, "AI", b, p, 5, 1) for u, profits in pairs.items() for b, p in profits]
+    for grain in ("day", "week", "month"):
+        got = {r["user_id"]: r["profit_cv"] for r in U.shooter_user_stats(spark.createDataFrame(rows, schema).coalesce(1), grain).collect()}
+        assert got[1] is None  # they cancel out
+        values = [Fraction(str(p)) - Fraction(str(b)) for b, p in pairs[2]]
+        mean = sum(values) / len(values)
+        std = math.sqrt(sum((x - mean) ** 2 for x in values) / (len(values) - 1))
+        assert got[2] == pytest.approx(std / abs(float(mean)), rel=1e-14)
+        assert got[3] == pytest.approx(0.0, abs=1e-12) and got[4] == pytest.approx(math.sqrt(2) / 3)
