@@ -178,9 +178,37 @@ def _by_token(each):
     return run
 
 
+def _within(run: np.ndarray, size: np.ndarray, least: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Index pairs of rows of one run whose sizes allow ``least``, some ``PAIRS`` at once; rows are in order of run and size."""
+    upto = np.searchsorted((run << 32) + size, (run << 32) + np.floor(size / least + 1e-9).astype(np.int64), side="right")
+    more = upto - np.arange(len(run)) - 1  # the others of its run that aren't too large
+    last = np.flatnonzero(np.r_[run[1:] != run[:-1], True]) + 1 if len(run) else np.zeros(0, dtype=np.int64)
+    ends, begin = np.cumsum(more), 0
+    while begin < len(run):  # whole runs
+        at = int(np.searchsorted(ends[last - 1], (ends[begin - 1] if begin else 0) + PAIRS, side="right"))
+        stop = int(last[at - 1]) if at and last[at - 1] > begin else int(last[np.searchsorted(last, begin, side="right")])
+        m = more[begin:stop]
+        a = np.repeat(np.arange(begin, stop), m)
+        yield a, a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
+        begin = stop
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """Hashes of row numbers (SplitMix64)."""
+    x = x.astype(np.uint64) + np.uint64(0x9E3779B97F4A7C15)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
 def _meetings(least: float):
-    """Of rows that share a token, pairs (u, v) of different components that may reach ``least``;
-    a longer run of several components is handed on, a row (token, u) for each of its rows."""
+    """Of rows that share a token, those that may reach ``least`` with one of a different component.
+
+    A run makes no more rows than it has: its pairs (u, v), if they are no more
+    than the rows in them, else a row (token, u, comp) for each of those.  Their
+    ``token`` is a hash of the run's rows, so runs of the same rows are one (if
+    hashes meet, more pairs are compared).  A longer run of several components is
+    handed on by its own token, ``long``."""
 
     def each(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
         held = held.sort_values(["token", "size"], kind="stable")
@@ -189,25 +217,49 @@ def _meetings(least: float):
         mixed = np.minimum.reduceat(comp, first) != np.maximum.reduceat(comp, first)
         long_ = np.repeat(mixed & (n > RUN), n)
         if long_.any():
-            yield pd.DataFrame({"token": token[long_], "u": own[long_], "v": _nulls(long_.sum())})
+            yield pd.DataFrame({"token": token[long_], "u": own[long_], "v": _nulls(long_.sum()), "comp": comp[long_], "long": True})
         short = np.repeat(mixed & (n <= RUN), n)
         run = np.repeat(np.arange(len(first)), n)[short]
         own, size, at, comp = own[short], size[short].astype(np.int64), at[short], comp[short]
-        upto = np.searchsorted((run << 32) + size, (run << 32) + np.floor(size / least + 1e-9).astype(np.int64), side="right")
-        more = upto - np.arange(len(own)) - 1  # the others of its run that aren't too large
-        ends, begin = np.cumsum(more), 0
-        while begin < len(own):
-            stop = max(begin + 1, int(np.searchsorted(ends, (ends[begin - 1] if begin else 0) + PAIRS, side="right")))
-            m = more[begin:stop]
-            a = np.repeat(np.arange(begin, stop), m)
-            b = a + 1 + np.arange(len(a)) - np.repeat(np.cumsum(m) - m, m)
+        for a, b in _within(run, size, least):
             need = np.ceil(least / (1 + least) * (size[a] + size[b]) - 1e-9)
             keep = (comp[a] != comp[b]) & (np.minimum(size[a] - at[a], size[b] - at[b]) >= need)
-            a, b = own[a[keep]], own[b[keep]]
-            if len(a):
-                out = pd.DataFrame({"u": np.minimum(a, b), "v": np.maximum(a, b)}).drop_duplicates()
-                yield pd.DataFrame({"token": _nulls(len(out)), "u": out["u"].to_numpy(), "v": out["v"].to_numpy()})
-            begin = stop
+            a, b = a[keep], b[keep]
+            if not len(a):
+                continue
+            low = run[a[0]]
+            met = np.unique(np.r_[a, b])
+            many = np.bincount(run[a] - low) > np.bincount(run[met] - low)  # more pairs than rows
+            few = ~many[run[a] - low]
+            u, v = own[a[few]], own[b[few]]
+            if len(u):
+                out = pd.DataFrame({"u": np.minimum(u, v), "v": np.maximum(u, v)}).drop_duplicates()
+                yield pd.DataFrame({"token": _nulls(len(out)), "u": out["u"].to_numpy(), "v": out["v"].to_numpy(), "comp": _nulls(len(out)), "long": False})
+            met = met[many[run[met] - low]]
+            if len(met):
+                first_, n_ = _runs(run[met])
+                same = np.repeat(np.add.reduceat(_mixed(own[met]), first_), n_).view(np.int64)
+                out = pd.DataFrame({"token": same, "u": own[met], "comp": comp[met]}).drop_duplicates(["token", "u"])
+                yield out.assign(v=_nulls(len(out)), long=False)[["token", "u", "v", "comp", "long"]]
+
+    return _by_token(each)
+
+
+def _short_runs(least: float):
+    """Pairs (u, v) of different components in each run that sizes and parities allow."""
+
+    def each(held: pd.DataFrame) -> Iterator[pd.DataFrame]:
+        held = held.sort_values(["token", "size"], kind="stable")
+        own, size, comp, bits = (held[c].to_numpy() for c in ("row", "size", "comp", "parity"))
+        first, n = _runs(held["token"].to_numpy())
+        size = size.astype(np.int64)
+        for a, b in _within(np.repeat(np.arange(len(first)), n), size, least):
+            keep = comp[a] != comp[b]
+            pairs = pd.DataFrame({"a": a[keep], "b": b[keep], "u": np.minimum(own[a], own[b])[keep], "v": np.maximum(own[a], own[b])[keep]}).drop_duplicates(["u", "v"])
+            a, b = pairs["a"].to_numpy(), pairs["b"].to_numpy()
+            keep = possible(size[a], size[b], least_apart(bits[a], bits[b]), least)
+            if keep.any():
+                yield pairs.loc[keep, ["u", "v"]]
 
     return _by_token(each)
 
@@ -246,8 +298,9 @@ def missed(sole: DataFrame, texts: DataFrame, links: DataFrame, shingle: int, le
     of all pairs of ``sole`` with a Jaccard similarity of ``least`` or more.
 
     Sets that similar share one of their rarest tokens (prefix filter).  Rows that
-    do, of different components, and pass the filters by size and place or by
-    parity, are compared whole.  Long runs of a token are taken a block against a
+    do, of different components, and pass the filters by size and place and by
+    parity, are compared whole.  A token's rows are handed on as rows, and paired
+    beside their parities, wherever they have more pairs.  Long runs of a token are taken a block against a
     block; their first round tries each row's nearest partners, so that the second,
     over what is still apart, has few pairs that link.
     """
@@ -274,11 +327,16 @@ def missed(sole: DataFrame, texts: DataFrame, links: DataFrame, shingle: int, le
     rows = rows.mapInArrow(tokens, "token long, row long, comp long, size int, at int")
     tasks = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     together = rows.repartition(tasks, "token").sortWithinPartitions("token")
-    met = materialise(together.mapInPandas(_meetings(least), "token long, u long, v long"), "met")
-    short = met.where("token IS NULL").select("u", "v").distinct()
-    links = links.unionByName(verified(short, sole, texts, shingle, least))
-
-    runs = materialise(met.where("token IS NOT NULL").select("token", F.col("u").alias("row")).join(sole.select("row", "size", "parity"), "row"), "runs")
+    met = materialise(together.mapInPandas(_meetings(least), "token long, u long, v long, comp long, long boolean"), "met")
+    traits = sole.select("row", "size", "parity")
+    rows = met.where("token IS NOT NULL AND NOT long").select("token", F.col("u").alias("row"), "comp").distinct().join(traits, "row")
+    rows = rows.repartition(tasks, "token").sortWithinPartitions("token")
+    short = materialise(rows.mapInPandas(_short_runs(least), "u long, v long").distinct(), "short")
+    pairs = met.where("token IS NULL").select("u", "v").unionByName(short).distinct()
+    links = links.unionByName(verified(pairs, sole, texts, shingle, least))
+    discard(short)
+
+    runs = materialise(met.where("long").select("token", F.col("u").alias("row")).join(traits, "row"), "runs")
     discard(met)
     if not runs.isEmpty():
         blocks = materialise(runs.groupBy("token").agg(F.ceil(F.count("*") / BLOCK).cast("long").alias("blocks")), "blocks")

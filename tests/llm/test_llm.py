@@ -891,3 +891,24 @@ def test_near_duplicates_are_exact_at_any_limit(spark):
         label = brute_groups(codes, limit)
         assert len(set(got.values())) == len(set(label))
         assert all((got[i] == got[j]) == (label[i] == label[j]) for i in range(40) for j in range(i))
+
+
+def test_meetings_make_no_more_rows_than_they_read():
+    """A run's pairs grow with its square; beyond its rows the rows are handed on, and none of its pairs is lost."""
+    rng = np.random.default_rng(5)
+    rows = [(t, r, r, 100 + r % 3, t % 4) for t in range(12) for r in sorted(rng.choice(200, 60, replace=False))]
+    rows += [(99, r, r, 100, 0) for r in range(100, 160)] + [(98, r, r, 100, 0) for r in range(100, 160)]  # the same rows twice
+    rows += [(97, 5, 5, 100, 0), (97, 6, 6, 100, 0)]
+    held = pd.DataFrame(rows, columns=["token", "row", "comp", "size", "at"]).astype({"size": "int32", "at": "int32"}).sort_values("token")
+    made = pd.concat(near_links._meetings(0.8)(iter([held])))
+    assert len(made) <= len(held) and not made["long"].any()
+    alone = made[made["token"].isna()]
+    assert (5, 6) in set(zip(alone["u"], alone["v"]))
+    runs = made[made["token"].notna()].groupby("token")["u"].apply(lambda u: tuple(sorted(map(int, u))))
+    want = {tuple(sorted(g)) for t, g in held.groupby("token")["row"] if t != 97}
+    assert sorted(runs) == sorted(want)  # once each
+    parity = {r: near_links.parity(np.arange(r // 50 * 1000, r // 50 * 1000 + 100, dtype=np.uint64)) for r in range(200)}
+    short = made[made["token"].notna()].astype({"token": "int64"}).sort_values("token")
+    short = pd.DataFrame({"token": short["token"], "row": short["u"], "comp": short["comp"], "size": 100, "parity": short["u"].map(parity)})
+    got = {(u, v) for f in near_links._short_runs(0.8)(iter([short])) for u, v in zip(f["u"], f["v"])}
+    assert got == {(u, v) for run in want for u, v in itertools.combinations(run, 2) if u // 50 == v // 50}
