@@ -24,6 +24,18 @@ def exact_mean(top: str, bottom: str) -> Column:
     return F.when(whole, F.coalesce(summed, F.avg(apart))).otherwise(F.avg(apart))
 
 
+def exact_deviation(top: str, bottom: str) -> Column:
+    """The sample deviation of top - bottom over a group, of sums of decimals so that order doesn't count;
+    of doubles where the mean isn't small beside it or a value isn't one of at most 6 places and 11 digits before them."""
+    a, b = (F.col(x).try_cast("decimal(17,6)") for x in (top, bottom))
+    apart = F.col(top) - F.col(bottom)
+    whole = F.bool_and(F.when(apart.isNotNull(), F.coalesce((a.cast("double") == F.col(top)) & (b.cast("double") == F.col(bottom)), F.lit(False))))
+    squares = F.try_sum((a - b) * (a - b)).cast("double")
+    around = squares - F.pow(F.try_sum(a - b).cast("double"), F.lit(2)) / F.count(apart)
+    exact = F.sqrt(around / F.nullif(F.count(apart) - 1, F.lit(0)))
+    return F.when(whole & (2 * around >= squares), exact).otherwise(F.stddev_samp(apart))
+
+
 def band(value: Column, edges: list[tuple[float, str]], other: str) -> Column:
     """The first label whose edge is at or above ``value``; null and larger ones are ``other``."""
     out = F.lit(other)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from driftwell.functions.columns import band, exact_mean, period_start, ratio
+from driftwell.functions.columns import band, exact_deviation, exact_mean, period_start, ratio
 from driftwell.operators.islands import running, running_group
 
 #: Bands of fish values.
@@ -70,7 +70,7 @@ def shooter_user_stats(bullets: DataFrame, grain: str) -> DataFrame:
         F.sum("payout").alias("total_payout"),
         F.sum("killed").cast("long").alias("kills"),
         F.count_distinct("user_id", "room_id").alias("rooms"),
-        ratio(F.stddev_samp("profit"), F.abs(mean)).alias("profit_cv"),
+        ratio(exact_deviation("payout", "bet"), F.abs(mean)).alias("profit_cv"),
         *(F.count(F.when(F.col("fish") == b, 1)).alias(f"bullets_{b}") for b in bands),
         F.max("killed").alias("any_kill"),
     ).where("any_kill > 0").drop("any_kill")

@@ -1,4 +1,6 @@
 import math
+import random
+import statistics
 from datetime import date, datetime
 from fractions import Fraction
 
@@ -288,3 +290,22 @@ def test_percentiles_are_exact(spark):
     for accuracy in (10_000, 10):
         rows = G.approximate_percentiles(df, ["g"], "x", accuracy).collect()
         assert {r["g"]: [r["p25"], r["median"], r["p75"]] for r in rows} == want and len(rows) == 4
+
+
+def test_profit_spread_does_not_depend_on_order(spark):
+    schema = "user_id long, event_timestamp timestamp, room_id long, strategy_name string, bet double, payout double, fish_value long, killed int"
+    draw = random.Random(3)
+    cents = [draw.randrange(20_000) for _ in range(1_499)]
+    pays = [100 * draw.randrange(200) for _ in range(1_500)]
+    pairs = list(zip([*cents, sum(pays) - sum(cents) - 1], pays, strict=True))  # profits of one cent in all
+    orders = {1: pairs, 2: sorted(pairs), 3: sorted(pairs, key=lambda x: x[1] - x[0]), 4: draw.sample(pairs, len(pairs))}
+    profits = {5: [1e-8, 3e-8, -1e-8], 6: [1e6, 1e6 + 0.01], 7: [1e13, -3e13, 1e12], 8: [2.5], 9: [0.5, 0.5], 10: [0.1, -0.3, 7.0]}
+    rows = [(u, b / 100, p / 100) for u, o in orders.items() for b, p in o] + [(u, 0.0, p) for u, o in profits.items() for p in o]
+    events = spark.createDataFrame([(u, datetime(2024, 1, 3), 1, "AI", b, p, 5, 1) for u, b, p in rows], schema).coalesce(1)
+    got = {r["user_id"]: r["profit_cv"] for r in U.shooter_user_stats(events, "week").collect()}
+    values = [Fraction(p - b, 100) for b, p in pairs]
+    mean = sum(values) / len(values)
+    want = math.sqrt(sum((x - mean) ** 2 for x in values) / (len(values) - 1)) / float(mean)
+    assert mean > 0 and len({got[u] for u in orders}) == 1 and got[1] == pytest.approx(want, rel=5e-16, abs=0)
+    for u, x in profits.items():
+        assert got[u] == (None if len(x) < 2 else pytest.approx(statistics.stdev(x) / abs(statistics.fmean(x)), rel=1e-9))
